@@ -310,8 +310,8 @@ def _nodes_column(nodes: list[dict], scope: dict) -> Column:
                 F.array_join(
                     F.transform(
                         source,
-                        lambda x, n=node, d=dtype: _nodes_column(
-                            n["body"], {**scope, n["loop"]: (x, d.elementType)}
+                        lambda x: _nodes_column(
+                            node["body"], {**scope, node["loop"]: (x, dtype.elementType)}
                         ),
                     ),
                     "",
@@ -396,6 +396,16 @@ def compiled(col: Column) -> Column:
     return F.from_json(_compile_udf(col), COMPILED)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _compile_list_udf(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda texts: [compile_json(t) for t in texts])
+
+
+def compiled_list(col: Column) -> Column:
+    """array<struct<error, segments>> of an array of template texts."""
+    return F.transform(_compile_list_udf(col), lambda j: F.from_json(j, COMPILED))
+
+
 def _filters_column(text: Column, items: Column, filters: Column) -> Column:
     joined = F.exists(filters, lambda f: f["name"] == "join")
     first = F.when(joined, F.array_join(items, F.get(filters, F.lit(0))["a"])).otherwise(text)
