@@ -15,7 +15,6 @@ from __future__ import annotations
 import ast
 import json
 import re
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -187,7 +186,6 @@ def _value_nodes(node) -> list[dict]:
     return [dict(item, filters=[*item["filters"], dict(name=name, a=a, b=b)])]
 
 
-@lru_cache(maxsize=4096)
 def parse_template(text: str) -> list[dict]:
     """Nodes of a template; raises TemplateError outside the covered subset."""
     if text.endswith("\n"):
@@ -378,7 +376,6 @@ def _flatten(nodes: list[dict], guards: list[dict]) -> list[dict]:
     return flat
 
 
-@lru_cache(maxsize=4096)
 def compile_json(text: str | None) -> str:
     try:
         return json.dumps(dict(error=None, segments=_flatten(parse_template(text or ""), [])))
@@ -388,7 +385,7 @@ def compile_json(text: str | None) -> str:
 
 @F.pandas_udf(T.StringType())
 def _compile_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(compile_json)
+    return texts.map({t: compile_json(t) for t in texts.unique()})
 
 
 def compiled(col: Column) -> Column:
@@ -398,7 +395,8 @@ def compiled(col: Column) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _compile_list_udf(lists: pd.Series) -> pd.Series:
-    return lists.map(lambda texts: [compile_json(t) for t in texts])
+    done = {t: compile_json(t) for texts in lists for t in texts}
+    return lists.map(lambda texts: [done[t] for t in texts])
 
 
 def compiled_list(col: Column) -> Column:
@@ -408,7 +406,8 @@ def compiled_list(col: Column) -> Column:
 
 def _filters_column(text: Column, items: Column, filters: Column) -> Column:
     joined = F.exists(filters, lambda f: f["name"] == "join")
-    first = F.when(joined, F.array_join(items, F.get(filters, F.lit(0))["a"])).otherwise(text)
+    glue = F.get(filters, F.lit(0))["a"]
+    first = F.when(joined, F.call_function("array_join", items, glue)).otherwise(text)
     return F.aggregate(
         filters,
         first,

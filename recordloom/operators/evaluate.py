@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import HASH_RANGE, draw
 from ..scale import TASK_ROWS, global_index, running
@@ -164,7 +165,7 @@ def _beta_share(a: float, b: float, x: float) -> float:
     return front * total / a
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _u_p_value(u: pd.Series, z: pd.Series, a: pd.Series, b: pd.Series, ties: pd.Series) -> pd.Series:
     def one(u, z, a, b, ties):
         if a < 1 or b < 1:
@@ -176,7 +177,7 @@ def _u_p_value(u: pd.Series, z: pd.Series, a: pd.Series, b: pd.Series, ties: pd.
     return pd.Series([one(*row) for row in zip(u, z, a, b, ties)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna(x) else _t_tail(x, d) for x, d in zip(t, df)], dtype="float64"

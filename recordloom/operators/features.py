@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,24 +92,31 @@ def schema_drift(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def split_rows(
-    df: DataFrame, sizes: dict[str, float], rest: str, seed: int, key: str, up: bool = False
+    df: DataFrame, sizes: dict[str, float], rest: str, seed: int, key: str
 ) -> DataFrame:
-    """Seeded split with exact sizes: int(fraction * n) rows each, the rest to `rest`.
+    """Seeded split with exact sizes: int(fraction * n) rows each, the rest to `rest`."""
+    n = df.count()
+    return _split_at(df, {part: int(share * n) for part, share in sizes.items()}, rest, seed, key)
+
+
+def holdout_split(df: DataFrame, test_share: float, seed: int, key: str) -> DataFrame:
+    """Seeded two-way split: the test part gets test_share * n rows, rounded up."""
+    n = df.count()
+    return _split_at(df, {"train": n - math.ceil(test_share * n)}, "test", seed, key)
 
-    Rows are ordered by the digest of (seed, unique key). Only the digests at the cut
-    ranks are looked up, then every row is assigned by comparison: no shuffle of rows.
-    With `up` a size is n minus the rounded-up remainder.
+
+def _split_at(df: DataFrame, counts: dict[str, int], rest: str, seed: int, key: str) -> DataFrame:
+    """Rows in the order of the digest of (seed, unique key), cut at exact ranks.
+
+    Only the digests at the cuts are looked up, then every row is assigned by
+    comparison, so no row is shuffled.
     """
     hashed = df.withColumn("_h", digest(seed, F.col(key)))
-    n = df.count()
-    ranks, used = [], 0
-    for share in sizes.values():
-        used += n - math.ceil((1 - share) * n) if up else int(share * n)
-        ranks.append(used)
     bucket = F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")
+    ranks = list(accumulate(counts.values()))
     cuts = rows_at_ranks(hashed.select("_h", key), bucket, ["_h", key], ranks)
     name = F.lit(rest)
-    for part, cut in reversed(list(zip(sizes, cuts))):
+    for part, cut in reversed(list(zip(counts, cuts))):
         name = F.when(at_or_before(["_h", key], cut), part).otherwise(name)
     return hashed.withColumn("split", name).drop("_h")
 

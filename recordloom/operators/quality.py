@@ -5,11 +5,11 @@ from __future__ import annotations
 import ast
 import builtins
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import template_vars
 
@@ -17,9 +17,14 @@ STAR_CODE = "W101"
 STAR_MESSAGE = "Star import hides where names come from."
 STAR_IMPORT = r"^\s*from\s+\S+\s+import\s+\*"
 
-CODE_FACTS = (
-    "error string, stars array<struct<line:int,column:int>>, "
-    "used array<string>, defined array<string>"
+_PLACE = T.StructType([T.StructField("line", T.IntegerType()), T.StructField("column", T.IntegerType())])
+CODE_FACTS = T.StructType(
+    [
+        T.StructField("error", T.StringType()),
+        T.StructField("stars", T.ArrayType(_PLACE)),
+        T.StructField("used", T.ArrayType(T.StringType())),
+        T.StructField("defined", T.ArrayType(T.StringType())),
+    ]
 )
 
 # ---------------------------------------------------------------- code reading
@@ -54,16 +59,32 @@ def _facts(code: str | None) -> tuple:
     return None, stars, sorted(used), sorted(defined)
 
 
-@F.pandas_udf(CODE_FACTS)
-def code_facts(code: pd.Series) -> pd.DataFrame:
-    """Parse once (never run) and report what the rules need."""
-    rows = [_facts(text) for text in code]
-    return pd.DataFrame(rows, columns=["error", "stars", "used", "defined"])
+def with_code_facts(df: DataFrame, col: str, out: str = "_facts") -> DataFrame:
+    """Parse each text once (never run it) and add what the rules need.
+
+    The other columns pass through as Arrow buffers, so nothing is converted for them.
+    """
+
+    def add(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        texts = pa.list_(pa.string())
+        place = pa.struct([("line", pa.int32()), ("column", pa.int32())])
+        kind = pa.struct(
+            [("error", pa.string()), ("stars", pa.list_(place)), ("used", texts), ("defined", texts)]
+        )
+        names = [f.name for f in kind]
+        for batch in batches:
+            codes = batch.column(batch.schema.get_field_index(col)).to_pylist()
+            facts = pa.array([dict(zip(names, _facts(code))) for code in codes], kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, facts], [*batch.schema.names, out])
+
+    return df.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField(out, CODE_FACTS)]))
 
 
 def syntax_screen(df: DataFrame, col: str, out: str = "syntax_error") -> DataFrame:
     """Null where the text parses, else `Syntax error on line n: why`."""
-    return df.withColumn(out, code_facts(F.col(col))["error"])
+    return with_code_facts(df, col).withColumn(out, F.col("_facts.error")).drop("_facts")
 
 
 # ------------------------------------------------------------------ line rules
@@ -137,7 +158,7 @@ def lint(
 
     Name checks know the given names plus the template variables of the text.
     """
-    facts = df.withColumn("_facts", code_facts(F.col(col)))
+    facts = with_code_facts(df, col)
     stars = F.transform(
         "_facts.stars",
         lambda s: F.struct(
@@ -212,7 +233,7 @@ def validate(
     checked = df.withColumn("error", F.coalesce(F.lit(None).cast("string"), *rules))
     if parse:
         text = F.when(F.col("error").isNull(), F.col(col))
-        checked = checked.withColumn("_facts", code_facts(text))
+        checked = with_code_facts(checked.withColumn("_text", text), "_text")
         star = F.get("_facts.stars", F.lit(0))
         star_error = F.format_string(
             f"Linter ({STAR_CODE} at L%d:%d): {STAR_MESSAGE}", star["line"], star["column"]
@@ -220,7 +241,7 @@ def validate(
         checked = checked.withColumn(
             "error",
             F.coalesce("error", "_facts.error", F.when(F.size("_facts.stars") > 0, star_error)),
-        ).drop("_facts")
+        ).drop("_facts", "_text")
     return checked.withColumn("valid", F.col("error").isNull())
 
 

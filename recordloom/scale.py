@@ -154,13 +154,17 @@ def running(
         .withColumns(carries)
         .drop(*[f"_tot_{name}" for name in aggs])
     )
+    carry = carry.withColumnsRenamed({k: f"_key_{k}" for k in ["_blk", *keys]})
     if not keys:
         carry = F.broadcast(carry)  # one row per block
+    same = F.lit(True)
+    for k in ["_blk", *keys]:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     return (
         rows.withColumns(local)
-        .join(carry, ["_blk", *keys])
+        .join(carry, same)
         .withColumns(merged)
-        .drop("_blk", "_idx", *inputs, *carries)
+        .drop("_blk", "_idx", *inputs, *carries, *[f"_key_{k}" for k in ["_blk", *keys]])
     )
 
 
@@ -181,7 +185,7 @@ def rows_at_ranks(
     histogram locates each rank's bucket; only that bucket is then ordered.
     """
     keyed = df.select(bucket.alias("_b"), *order)
-    hist = sorted(keyed.groupBy("_b").count().collect())
+    hist = sorted(keyed.groupBy("_b").count().limit(RANK_BUCKETS + 1).collect())
     if len(hist) > RANK_BUCKETS:
         raise ValueError(f"more than {RANK_BUCKETS} rank buckets")
     ends = list(accumulate(n for _, n in hist))

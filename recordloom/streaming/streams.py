@@ -19,8 +19,9 @@ def _use_disk_state(df: DataFrame) -> None:
     df.sparkSession.conf.set(_STORE, _ROCKS)
 
 
-def read_parquet_stream(spark, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def read_parquet_stream(spark, folder: str, schema: T.StructType, glob: str = "*") -> DataFrame:
+    """Files of a folder as a stream, new ones as they arrive."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
 
 
 def render_stream(
