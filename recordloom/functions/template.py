@@ -420,7 +420,12 @@ def _filters_column(text: Column, items: Column, filters: Column) -> Column:
 
 
 def _holds(ctx: Column, guard: Column) -> Column:
-    bound = F.try_element_at(ctx, guard["param"])
+    bound = F.array(F.try_element_at(ctx, guard["param"]))
+    # looked up once, then tested
+    return F.get(F.transform(bound, lambda b: _test(b, guard)), F.lit(0))
+
+
+def _test(bound: Column, guard: Column) -> Column:
     shown, kind = bound["v"], bound["k"]
     truthy = (
         F.when(kind == "str", shown != "")

@@ -12,6 +12,7 @@ from ..scale import (
     at_or_before,
     global_index,
     materialize,
+    pin,
     rows_at_ranks,
     running,
 )
@@ -52,12 +53,13 @@ def assemble(
 
 def compile_catalog(catalog: DataFrame) -> DataFrame:
     """Add compiled templates: code, instruction, tests, and why one cannot render."""
-    with_code = assemble(catalog, "_code").withColumns(
+    with_code = pin(
+        assemble(catalog, "_code"),
         {
             "_c": compiled(F.col("_code")),
             "_i": compiled(F.col("instruction")),
             "_t": compiled_list(F.col("validation.tests")),
-        }
+        },
     )
     test_error = F.get(F.filter("_t", lambda t: t["error"].isNotNull()), F.lit(0))["error"]
     return with_code.select(
@@ -80,25 +82,26 @@ def render_samples(df: DataFrame) -> DataFrame:
     A row whose templates cannot render keeps null texts and its `render_error`.
     """
     ok, ctx = F.col("render_error").isNull(), F.col("ctx")
-    return df.withColumns(
-        {
-            "instruction": F.when(ok, render_segments(F.col("instruction_segments"), ctx)),
-            "code": F.when(ok, strip_text(render_segments(F.col("code_segments"), ctx))),
-            "tests": F.when(
-                ok, F.transform("test_segments", lambda t: render_segments(t, ctx))
-            ),
-        }
-    ).drop("instruction_segments", "code_segments", "test_segments")
+    texts = {
+        "instruction": F.when(ok, render_segments(F.col("instruction_segments"), ctx)),
+        "code": F.when(ok, strip_text(render_segments(F.col("code_segments"), ctx))),
+        "tests": F.when(ok, F.transform("test_segments", lambda t: render_segments(t, ctx))),
+    }
+    return pin(df, texts).drop("instruction_segments", "code_segments", "test_segments")
 
 
 def render_defaults(catalog: DataFrame) -> DataFrame:
     """Code with default values only; text that cannot render stays as it is."""
-    ready = assemble(catalog, "raw_code").withColumn("_c", compiled(F.col("raw_code")))
-    ctx = default_context(F.col("parameters"))
-    shown = F.when(F.col("_c.error").isNull(), render_segments(F.col("_c.segments"), ctx))
-    return ready.withColumns(
-        {"code": F.coalesce(shown, "raw_code"), "render_error": F.col("_c.error")}
-    ).drop("_c")
+    ready = assemble(catalog, "raw_code")
+    bound = pin(
+        ready, {"_c": compiled(F.col("raw_code")), "_ctx": default_context(F.col("parameters"))}
+    )
+    shown = F.when(
+        F.col("_c.error").isNull(), render_segments(F.col("_c.segments"), F.col("_ctx"))
+    )
+    return pin(
+        bound, {"code": F.coalesce(shown, "raw_code"), "render_error": F.col("_c.error")}
+    ).drop("_c", "_ctx")
 
 
 # ---------------------------------------------------------------- removing copies
@@ -224,16 +227,18 @@ def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataF
     )
     first = choices.groupBy("pattern_pos", "choice").agg(F.min("attempt").alias("attempt"))
     numbers = F.filter(F.split("choice", ","), lambda c: c != "").cast("array<int>")
-    return first.join(indexed, "pattern_pos").withColumn(
-        "ctx", context_of(F.col("_entries"), numbers)
-    ).drop("_entries", "parameters", "choice")
+    joined = first.join(indexed, "pattern_pos")
+    return pin(joined, {"ctx": context_of(F.col("_entries"), numbers)}).drop(
+        "_entries", "parameters", "choice"
+    )
 
 
 def generate_attempts(
     catalog: DataFrame, attempts: DataFrame, seed: int, validators: list | None = None
 ) -> DataFrame:
     """Judged samples: `outcome` is accepted, invalid or render_error."""
-    samples = render_samples(sample_contexts(catalog, attempts, seed))
+    # read three times below, so rendered once
+    samples = materialize(render_samples(sample_contexts(catalog, attempts, seed)), "samples")
     broken = samples.filter(F.col("render_error").isNotNull()).select(
         "attempt",
         "pattern_id",
@@ -313,11 +318,10 @@ def generate_batch(
     chosen = catalog if pattern_id is None else catalog.filter(F.col("pattern_id") == pattern_id)
     ready = compile_catalog(chosen).withColumn("_entries", option_entries(F.col("parameters")))
     tries = ready.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    bound = tries.withColumn(
-        "choice", drawn_choice(F.col("_entries"), seed, F.col("attempt"), F.col("pattern_id"))
-    ).withColumn("ctx", context_of(F.col("_entries"), F.col("choice")))
-    samples = render_samples(bound).filter(F.col("render_error").isNull() & (F.col("code") != ""))
-    # all attempts of a pattern sit in one narrow row set: combine per (pattern, hash)
+    choice = drawn_choice(F.col("_entries"), seed, F.col("attempt"), F.col("pattern_id"))
+    bound = pin(tries, {"ctx": context_of(F.col("_entries"), choice)}).drop("parameters", "_entries")
+    rendered = render_samples(bound).filter(F.col("render_error").isNull() & (F.col("code") != ""))
+    samples = materialize(rendered, "batch")
     hashed = samples.withColumn("md5", F.md5(F.col("code").cast("binary")))
     first = hashed.groupBy("pattern_id", "md5").agg(F.min("attempt").alias("attempt"))
     unique = hashed.join(first.select("pattern_id", "attempt"), ["pattern_id", "attempt"], "left_semi")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
 from ..functions.template import VALUE
-from ..scale import global_index
+from ..scale import global_index, pin
 
 GRID_CHUNK = 65_536
 
@@ -82,7 +82,7 @@ def bind_params(
     """Add `ctx`: choices drawn uniformly, every other type keeps its default."""
     entries = option_entries(F.col("parameters"), include_bools)
     choice = drawn_choice(entries, seed, F.col(attempt), F.col("pattern_id"))
-    return df.withColumn("ctx", context_of(entries, choice))
+    return pin(df, {"ctx": context_of(entries, choice)})
 
 
 def expand_grid(df: DataFrame, include_bools: bool = False) -> DataFrame:
@@ -91,7 +91,7 @@ def expand_grid(df: DataFrame, include_bools: bool = False) -> DataFrame:
     Combination numbers are decoded in mixed radix, so there is no join. Large
     grids are cut into chunks that spread over tasks before they are expanded.
     """
-    sized = df.withColumn("_entries", option_entries(F.col("parameters"), include_bools))
+    sized = pin(df, {"_entries": option_entries(F.col("parameters"), include_bools)})
     sizes = F.transform("_entries", lambda e: F.size(e["options"]).cast("long"))
     one = F.lit(1).cast("long")
 
@@ -116,6 +116,6 @@ def expand_grid(df: DataFrame, include_bools: bool = False) -> DataFrame:
         "_strides",
         lambda size, stride: (F.floor(F.col("grid_no") / stride).cast("long") % size).cast("int"),
     )
-    return numbered.withColumn("ctx", context_of(F.col("_entries"), digits)).drop(
+    return pin(numbered, {"ctx": context_of(F.col("_entries"), digits)}).drop(
         "_entries", "_sizes", "_total", "_strides", "_from"
     )

@@ -51,6 +51,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pin(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once per row, however often they are used later.
+
+    The one-element generator keeps the optimizer from inlining a costly expression
+    into every place (filters above all) that refers to it.
+    """
+    made = F.struct(*[col.alias(name) for name, col in columns.items()])
+    kept = [F.col(c) for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(made)))
+
+
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows of the biggest group; reads only the key columns, combined map-side."""
     if not keys:
