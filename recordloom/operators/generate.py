@@ -51,8 +51,8 @@ def assemble(
     return df.withColumn(out, assemble_parts(parts))
 
 
-def compile_catalog(catalog: DataFrame) -> DataFrame:
-    """Add compiled templates: code, instruction, tests, and why one cannot render."""
+def compile_catalog(catalog: DataFrame, *keep: str) -> DataFrame:
+    """Compiled templates: code, instruction, tests, and why one cannot render."""
     with_code = pin(
         assemble(catalog, "_code"),
         {
@@ -63,6 +63,7 @@ def compile_catalog(catalog: DataFrame) -> DataFrame:
     )
     test_error = F.get(F.filter("_t", lambda t: t["error"].isNotNull()), F.lit(0))["error"]
     return with_code.select(
+        *keep,
         "pattern_id",
         "parameters",
         F.coalesce("_i.error", "_c.error", test_error).alias("render_error"),
@@ -192,11 +193,10 @@ def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataF
     many attempts there are, at most one row per distinct context is rendered.
     """
     entries = option_entries(F.col("parameters"))
+    # numbered first: what follows the numbering keeps the parallelism of the blocks
+    numbered = global_index(catalog, ["pattern_id"], "pattern_pos", limit=0)
     indexed = materialize(
-        global_index(
-            compile_catalog(catalog).withColumn("_entries", entries), ["pattern_id"], "pattern_pos"
-        ),
-        "catalog",
+        compile_catalog(numbered, "pattern_pos").withColumn("_entries", entries), "catalog"
     )
     size = indexed.count()
     if size == 0:

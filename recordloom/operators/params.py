@@ -57,11 +57,16 @@ def option_entries(params: Column, include_bools: bool = False) -> Column:
     )
 
 
+def _pick(options: Column, *key) -> Column:
+    """Uniform option number; nothing to draw when there is only one."""
+    n = F.size(options)
+    return F.when(n == 1, 0).otherwise((draw(*key) % n).cast("int"))
+
+
 def drawn_choice(entries: Column, seed: int, attempt: Column, pattern_id: Column) -> Column:
     """Chosen option number per parameter."""
     return F.transform(
-        entries,
-        lambda e: (draw(seed, attempt, pattern_id, e["name"]) % F.size(e["options"])).cast("int"),
+        entries, lambda e: _pick(e["options"], seed, attempt, pattern_id, e["name"])
     )
 
 
@@ -80,9 +85,17 @@ def bind_params(
     df: DataFrame, seed: int, attempt: str = "attempt", include_bools: bool = False
 ) -> DataFrame:
     """Add `ctx`: choices drawn uniformly, every other type keeps its default."""
-    entries = option_entries(F.col("parameters"), include_bools)
-    choice = drawn_choice(entries, seed, F.col(attempt), F.col("pattern_id"))
-    return pin(df, {"ctx": context_of(entries, choice)})
+    pattern, tries = F.col("pattern_id"), F.col(attempt)
+
+    def bound(e: Column) -> Column:
+        options = F.array(option_list(e["value"], include_bools))
+        chosen = F.transform(
+            options, lambda o: F.get(o, _pick(o, seed, tries, pattern, e["key"]))
+        )
+        return F.struct(e["key"], F.get(chosen, F.lit(0)))
+
+    ctx = F.map_from_entries(F.transform(F.map_entries("parameters"), bound))
+    return pin(df, {"ctx": ctx})
 
 
 def expand_grid(df: DataFrame, include_bools: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from ..scale import (
     global_index,
     largest_group,
     materialize,
+    pin,
     running,
 )
 
@@ -157,7 +158,8 @@ def coerce(
         problems.append(F.when(F.col(name).isNull(), F.lit(f"{name} has the wrong type")))
     for reason, cond in (rules or {}).items():
         problems.append(F.when(~F.coalesce(cond, F.lit(False)), F.lit(reason)))
-    judged = df.withColumn("_raw", raw).withColumns(values).withColumn("reason", F.coalesce(*problems))
+    parsed = pin(pin(df, {"_raw": raw}), values)
+    judged = pin(parsed, {"reason": F.coalesce(*problems)})
     good = judged.filter(F.col("reason").isNull()).drop("_raw", "reason")
     bad = judged.filter(F.col("reason").isNotNull()).drop("_raw", *fields)
     return good, bad

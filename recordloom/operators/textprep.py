@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_string, sequence_starts
-from ..scale import global_index, materialize
+from ..scale import global_index, running
 
 UNK_ID, PAD_ID, FIRST_ID = 0, 1, 2
 # The broadcast part of a vocabulary: at most this many terms of this length.
@@ -26,16 +26,20 @@ def term_counts(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def term_stats(tokens: DataFrame, key: str) -> DataFrame:
+def term_stats(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     """Count and first place (document, position) of each term.
 
-    The place is one fixed-width number, so the grouping stays a hash aggregation.
+    The place is one fixed-width number, so the grouping stays a hash aggregation;
+    document keys too wide for a packed long take a decimal.
     """
-    place = F.col(key).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col(
-        "pos"
-    ).cast("decimal(10,0)")
+    low, high = docs.agg(F.min(key), F.max(key)).first()
+    packed = low is None or (low >= 0 and high < 1 << 32)
+    wide = "bigint" if packed else "decimal(20,0)"
+    scale = F.lit(1 << 31).cast("bigint" if packed else "decimal(10,0)")
+    place = F.col(key).cast(wide) * scale + F.col("pos")
     return (
-        tokens.withColumn("_at", place)
+        token_rows(docs, key, tokens)
+        .withColumn("_at", place)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first_at"))
     )
@@ -45,20 +49,14 @@ def build_vocab(stats: DataFrame, min_freq: int) -> DataFrame:
     return stats.filter(F.col("n") >= min_freq)
 
 
-def assign_ids(
-    vocab: DataFrame, unk: str = "<UNK>", pad: str = "<PAD>", **bounds
-) -> DataFrame:
+def assign_ids(vocab: DataFrame, unk: str = "<UNK>", pad: str = "<PAD>") -> DataFrame:
     """(term, id, n): 0 and 1 are special, the rest from 2 by falling count, then first place."""
-    ids = materialize(
-        global_index(vocab, [F.col("n").desc(), "first_at"], "id", FIRST_ID, **bounds).select(
-            "term", "id", "n"
-        ),
-        "vocab",
-    )
+    # limit 0: always written in ordered blocks, so the corpus is not read again for each use
+    ids = global_index(vocab, [F.col("n").desc(), "first_at"], "id", FIRST_ID, limit=0)
     special = ids.sparkSession.createDataFrame(
         [(unk, UNK_ID, 0), (pad, PAD_ID, 0)], "term string, id long, n long"
     )
-    return special.unionAll(ids)
+    return special.unionAll(ids.select("term", "id", "n"))
 
 
 def encode(tokens: DataFrame, vocab: DataFrame, head_terms: int = HEAD_TERMS) -> DataFrame:
@@ -109,31 +107,39 @@ def sequence_windows(df: DataFrame, tokens: Column, length: int) -> DataFrame:
 
 
 def corpus_windows(
-    tokens: DataFrame, order: list[str], value: str, length: int, block: int = 8192, **bounds
+    docs: DataFrame, key: str, tokens: Column, length: int, block: int = 8192, **bounds
 ) -> DataFrame:
-    """Windows over the whole ordered token stream, across row borders.
+    """Windows over the whole token stream in key order, across row borders.
 
-    Tokens are numbered once, then cut into blocks that also carry the first tokens of
-    the next block, so every window is formed inside one bounded array.
+    A running sum over the documents places each one in the stream. Documents are then
+    sliced into stream blocks that also hold the first tokens of the next block, so every
+    window forms inside one bounded array and long documents spread over many blocks.
     """
     if length >= block:
         raise ValueError("the block must be longer than the window")
-    numbered = global_index(tokens.select(*order, value), order, "_i", **bounds)
-    at = F.col("_i")
-    own = F.floor(at / block).cast("long")
-    homes = F.when((at % block < length) & (own > 0), F.array(own - 1, own)).otherwise(F.array(own))
-    blocks = (
-        numbered.select(F.explode(homes).alias("_b"), "_i", value)
-        .groupBy("_b")
-        .agg(F.array_sort(F.collect_list(F.struct("_i", value))).alias("_rows"))
-        .select("_b", F.transform("_rows", lambda r: r[value]).alias("_t"))
+    rows = docs.select(key, tokens.alias("_t"))
+    sizes = rows.select(key, F.size("_t").cast("long").alias("_n"))
+    placed = running(sizes, [], [key], {"_off": ("sum", F.col("_n"))}, **bounds)
+    size, length_ = F.lit(block).cast("long"), F.lit(length).cast("long")
+    off, end = F.col("_off"), F.col("_off") + F.col("_n")
+    first = F.greatest(F.floor((off - length_) / size).cast("long"), F.lit(0).cast("long"))
+    last = F.floor((end - 1) / size).cast("long")
+    pieces = (
+        rows.join(placed.filter("_n > 0"), key)
+        .withColumn("_b", F.explode(F.sequence(first, last)))
+        .withColumn("_s", F.greatest(off, F.col("_b") * size))
+        .withColumn("_len", F.least(end, (F.col("_b") + 1) * size + length_) - F.col("_s"))
+        .select("_b", "_s", F.slice("_t", (F.col("_s") - off + 1).cast("int"), F.col("_len").cast("int")).alias("_p"))
+    )
+    blocks = pieces.groupBy("_b").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_p"))), lambda p: p["_p"])).alias("_t")
     )
-    last = F.least(F.size("_t") - F.lit(length), F.lit(block))
-    steps = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
-    return blocks.withColumn("_s", F.explode(steps)).select(
-        (F.col("_b") * block + F.col("_s")).alias("start"),
-        F.slice("_t", F.col("_s") + 1, F.lit(length)).alias("x"),
-        F.slice("_t", F.col("_s") + 2, F.lit(length)).alias("y"),
+    count = F.least(F.size("_t") - F.lit(length), F.lit(block))
+    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return blocks.withColumn("_i", F.explode(starts)).select(
+        (F.col("_b") * size + F.col("_i")).alias("start"),
+        F.slice("_t", F.col("_i") + 1, F.lit(length)).alias("x"),
+        F.slice("_t", F.col("_i") + 2, F.lit(length)).alias("y"),
     )
 
 

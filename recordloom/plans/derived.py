@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.template import VALUE
 from ..operators.catalog import check_catalog
 from ..sources.catalog import COMPONENTS, PARAM, parse_catalog
-from .registry import table
+from .registry import spread_table
 
 BODY = (
     "def f_{{ style }}(x):\n"
@@ -46,7 +46,7 @@ def _param(kind: str, default: Column, options: Column | None = None) -> Column:
 
 def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised patterns: every tenth size imports a star, others fail to parse or render."""
-    part = table(spark, sf_dir, "part")
+    part = spread_table(spark, sf_dir, "part")
     size = F.col("p_size")
     words = F.transform(F.split("p_name", " "), lambda w: _value(w, "str"))
     flag = F.when(size % 2 == 0, "True").otherwise("False")
@@ -109,7 +109,7 @@ def sql_instruction(style: str, size: str) -> str:
 
 def part_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path, yaml_text): a YAML pattern per part, with defects that follow the size."""
-    part = table(spark, sf_dir, "part")
+    part = spread_table(spark, sf_dir, "part")
     m = F.col("p_size") % 10
     key = F.col("p_partkey").cast("string")
     lines = F.concat_ws(

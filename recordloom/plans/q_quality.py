@@ -10,11 +10,11 @@ from ..functions.text import template_vars, tokenize_alpha
 from ..operators import quality as q
 from ..operators.generate import render_defaults
 from .derived import PART_SQL, part_catalog, sql_code
-from .registry import query, sql_alpha, table
+from .registry import query, spread_table, sql_alpha, table
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "source")
+    return spread_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "source")
 
 
 def _part_code(spark, sf_dir):

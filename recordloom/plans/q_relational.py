@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as v
 from ..operators import relational as r
-from .registry import query, table
+from .registry import query, spread_table, table
 
 
 @query("filter_map", "SELECT p_partkey, (p_size * p_size)::BIGINT AS squared FROM part WHERE p_size % 2 = 0")
@@ -196,7 +196,7 @@ def _payload(spark, sf_dir):
         mail.alias("email"),
         F.array("event_type").alias("tags"),
     )
-    return table(spark, sf_dir, "events").select("event_id", F.to_json(body).alias("payload"))
+    return spread_table(spark, sf_dir, "events").select("event_id", F.to_json(body).alias("payload"))
 
 
 _FIELDS = {"id": "int", "amount": "double", "email": "string", "tags": "array<string>"}

@@ -21,7 +21,7 @@ from ..sources import files
 from ..sources.catalog import parse_catalog
 from .derived import YAML_PATH_SQL, YAML_STATUS_SQL, part_yaml
 from .q_evaluation import LABEL_SQL, REPORT_SQL, labelled
-from .registry import query, sql_tokens, table
+from .registry import query, spread_table, sql_tokens, table
 
 
 @query(
@@ -140,10 +140,11 @@ def sink_csv(spark, sf_dir):
     FROM tok LEFT JOIN ids USING (term) GROUP BY doc_id""",
 )
 def sink_corpus(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    tokens = token_rows(docs, "doc_id", tokenize_alpha(F.col("text")))
-    vocab = assign_ids(build_vocab(term_stats(tokens, "doc_id"), 2))
-    meta = corpus_metadata(docs, tokenize_alpha(F.col("text")), vocab, 2)
+    docs = spread_table(spark, sf_dir, "documents")
+    words = tokenize_alpha(F.col("text"))
+    tokens = token_rows(docs, "doc_id", words)
+    vocab = assign_ids(build_vocab(term_stats(docs, "doc_id", words), 2))
+    meta = corpus_metadata(docs, words, vocab, 2)
     path = scratch_path(spark, "corpus")
     files.write_corpus(encode(tokens, vocab), vocab, meta, path)
     written, _, described = files.read_corpus(spark, path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, tokenize_alpha, tokenize_ws
 from ..operators import textprep as t
-from .registry import query, sql_alpha, sql_tokens, table
+from .registry import query, spread_table, sql_alpha, sql_tokens, table
 
 MIN_FREQ = 2
 _STATS = f"""
@@ -16,7 +16,7 @@ SELECT term, row_number() OVER (ORDER BY n DESC, f) + 1 AS id, n FROM ({_STATS})
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _tokens(spark, sf_dir):
@@ -24,7 +24,8 @@ def _tokens(spark, sf_dir):
 
 
 def _vocab(spark, sf_dir):
-    return t.assign_ids(t.build_vocab(t.term_stats(_tokens(spark, sf_dir), "doc_id"), MIN_FREQ))
+    stats = t.term_stats(_docs(spark, sf_dir), "doc_id", tokenize_alpha(F.col("text")))
+    return t.assign_ids(t.build_vocab(stats, MIN_FREQ))
 
 
 @query(
@@ -134,7 +135,7 @@ def sequence_windows(spark, sf_dir):
     SELECT * FROM far WHERE y_last IS NOT NULL""",
 )
 def corpus_windows(spark, sf_dir):
-    rows = t.corpus_windows(_tokens(spark, sf_dir), ["doc_id", "pos"], "term", _L)
+    rows = t.corpus_windows(_docs(spark, sf_dir), "doc_id", tokenize_alpha(F.col("text")), _L)
     first, last = F.lit(1), F.lit(-1)
     return rows.select(
         "start",

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scale import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for costly work per row: dealt out when the file has too few splits."""
+    return spread(table(spark, sf_dir, name))
+
+
 def sql_draw(key: str) -> str:
     """The hash draw of `functions.hashing` as SQL text."""
     return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT)"

@@ -17,8 +17,10 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Rows one task may order on its own: above this the block path is taken.
+# Rows of one group that one task may order on its own: above this, block by block.
 TASK_ROWS = 1_000_000
+# Rows of a whole table that one task may number; what follows runs in that task too.
+INDEX_ROWS = 10_000
 # Buckets of the histograms that locate exact ranks; bounds what is collected.
 RANK_BUCKETS = 65_536
 # Rows a side may have to be broadcast or collected.
@@ -51,6 +53,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores out to all cores.
+
+    For costly work per row on small or unsplittable files; a scan that already has
+    enough splits is returned unchanged, so large inputs are never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def pin(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are evaluated once per row, however often they are used later.
 
@@ -94,7 +106,7 @@ def global_index(
     order: list,
     name: str = "idx",
     start: int = 0,
-    limit: int = TASK_ROWS,
+    limit: int = INDEX_ROWS,
     blocks: int | None = None,
 ) -> DataFrame:
     """Dense 0-based (plus `start`) position of every row under a unique order."""
