@@ -107,8 +107,13 @@ def phase_means(df: DataFrame, keys: list[str], loss: str, correct: str) -> Data
 
 
 def auc(df: DataFrame, keys: list[str], x: str, y: str, limit: int = TASK_ROWS) -> DataFrame:
-    """Trapezoid area under y over x per group; a single point has none."""
-    points = df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    """Trapezoid area under y over x per group; a single point has none.
+
+    Equal points enclose no area, so they shrink to one before anything is ordered.
+    """
+    points = df.select(
+        *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
+    ).distinct()
     linked = running(points, keys, ["_x", "_y"], {"_before": ("lag", F.struct("_x", "_y"))}, limit)
     area = (F.col("_x") - F.col("_before._x")) * (F.col("_y") + F.col("_before._y")) / 2
     return linked.groupBy(*keys).agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("auc"))

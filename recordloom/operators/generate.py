@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import draw
 from ..functions.template import compiled, compiled_list, render_segments
 from ..scale import (
     RANK_BUCKETS,
@@ -21,6 +20,7 @@ from .params import (
     default_context,
     drawn_choice,
     option_entries,
+    with_draw,
 )
 from .quality import validate
 
@@ -198,9 +198,6 @@ def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataF
     indexed = materialize(
         compile_catalog(numbered, "pattern_pos").withColumn("_entries", entries), "catalog"
     )
-    size = indexed.count()
-    if size == 0:
-        return attempts.limit(0).join(indexed, F.lit(False)).withColumn("ctx", F.lit(None))
     names = indexed.select(
         "pattern_pos",
         "pattern_id",
@@ -212,9 +209,7 @@ def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataF
             ),
         ).alias("_shape"),
     )
-    drawn = attempts.select("attempt").withColumn(
-        "pattern_pos", draw(seed, F.col("attempt")) % size
-    )
+    drawn = with_draw(attempts.select("attempt"), indexed.count(), seed)
     choices = drawn.join(names, "pattern_pos").select(
         "pattern_pos",
         F.array_join(

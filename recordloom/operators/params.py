@@ -21,11 +21,12 @@ def draw_patterns(
     is broadcast is left to the planner's size threshold.
     """
     indexed = global_index(catalog, [key], "pattern_pos")
-    size = indexed.count()
-    if size == 0:
-        return attempts.limit(0).join(indexed, F.lit(False))
-    drawn = attempts.withColumn("pattern_pos", draw(seed, F.col(attempt)) % size)
-    return drawn.join(indexed, "pattern_pos")
+    return with_draw(attempts, indexed.count(), seed, attempt).join(indexed, "pattern_pos")
+
+
+def with_draw(attempts: DataFrame, size: int, seed: int, attempt: str = "attempt") -> DataFrame:
+    """Add `pattern_pos`, uniform in [0, size)."""
+    return pin(attempts, {"pattern_pos": draw(seed, F.col(attempt)) % max(size, 1)})
 
 
 def _bool_value(flag: bool) -> Column:

@@ -171,7 +171,8 @@ def lint(
     found = stars
     if check_names:
         none = F.array().cast("array<string>")
-        names = F.array_union(template_vars(F.col(col)), none if known is None else known)
+        own = F.coalesce(template_vars(F.col(col)), none)
+        names = F.array_union(own, none if known is None else known)
         missing = undefined_names(F.col("_facts.used"), F.col("_facts.defined"), names)
         found = F.concat(
             stars,
@@ -306,10 +307,32 @@ def suggest_fix(col: Column) -> Column:
     )
 
 
-def lint_report(violations: DataFrame, key: str, shown: int = 3) -> DataFrame:
-    """Per key: number of violations and the first messages, combined before the shuffle."""
-    place = F.struct("line", "column", "code")
-    per_line = violations.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_errors"), F.min(place).alias("first")
+def lint_report(violations: DataFrame, key: str) -> DataFrame:
+    """Per key: number of violations, first place, and the rule codes that occur.
+
+    Fixed-width aggregates and a set bounded by the number of rules: a hot key is
+    combined map-side.
+    """
+    place = F.col("line").cast("long") * F.lit(1 << 31) + F.col("column")
+    return (
+        violations.groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("n_errors"),
+            F.min(place).alias("_at"),
+            F.array_sort(F.collect_set("code")).alias("codes"),
+        )
+        .withColumns(
+            {
+                "line": F.shiftright("_at", 31),
+                "column": F.col("_at").bitwiseAND(F.lit((1 << 31) - 1)),
+            }
+        )
+        .drop("_at")
     )
-    return per_line.select(key, "n_errors", "first.line", "first.column", "first.code")
+
+
+def lint_summary(checked: DataFrame, report: DataFrame, key: str) -> DataFrame:
+    """Failures sorted by key, each with the number of rows that passed."""
+    failed = report.count()
+    passed = checked.select(key).distinct().count() - failed
+    return report.withColumn("n_passed", F.lit(passed).cast("long")).orderBy(key)

@@ -16,6 +16,9 @@ from ..scale import (
     running,
 )
 
+# A key with more than this share of the rows is handled apart from the others.
+HOT_SHARE = 0.001
+
 
 def filter_map(df: DataFrame, keep: Column, value: Column, out: str) -> DataFrame:
     """Keep matching rows and add a mapped value; equal values stay."""
@@ -78,15 +81,35 @@ def array_pairs(df: DataFrame, col: str, max_items: int = 64) -> DataFrame:
     return rows.withColumn("second", F.explode(rest)).drop("_items", "_i")
 
 
+def _hot_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """Keys with more than HOT_SHARE of the rows (so at most 1 / HOT_SHARE), or None."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") > F.lit(total * HOT_SHARE)).select(key)
+    return None if hot.isEmpty() else hot
+
+
+def _with_membership(df: DataFrame, key: str, members: DataFrame, member_key: str, how: str):
+    """Semi or anti join: members reduced to distinct keys, hot probe keys never shuffled."""
+    known = members.select(F.col(member_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    probes = df.filter(F.col(key).isNotNull())
+    hot = _hot_keys(probes, key)
+    if hot is None:
+        return probes.join(known, key, how)
+    settled = F.broadcast(hot.join(known, key, how))
+    rare = probes.join(F.broadcast(hot), key, "left_anti")
+    return probes.join(settled, key, "left_semi").unionAll(rare.join(known, key, how))
+
+
 def membership(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
-    """Rows whose key occurs among the members; members are reduced to distinct keys first."""
-    known = members.select(F.col(member_key).alias(key)).distinct()
-    return df.join(known, key, "left_semi")
+    """Rows whose key occurs among the members."""
+    return _with_membership(df, key, members, member_key, "left_semi")
 
 
 def non_membership(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
-    known = members.select(F.col(member_key).alias(key)).distinct()
-    return df.join(known, key, "left_anti")
+    """Rows whose key does not occur among the members; null keys never do."""
+    without = df.filter(F.col(key).isNull())
+    return without.unionAll(_with_membership(df, key, members, member_key, "left_anti"))
 
 
 def membership_counts(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:

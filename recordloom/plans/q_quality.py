@@ -236,14 +236,16 @@ def suggest_fixes(spark, sf_dir):
 @query(
     "lint_report",
     f"""
-    SELECT source, count(*) AS n_errors, min(line) AS line,
-      arg_min("column", line * 1000 + "column") AS "column", '{q.STAR_CODE}' AS code
+    SELECT source, count(*) AS n_errors, min(line) AS line, arg_min("column", line * 1000 + "column") AS "column",
+      '{q.STAR_CODE}' AS codes, (SELECT count(DISTINCT source) FROM documents) - (SELECT count(DISTINCT source)
+        FROM documents WHERE doc_id % 3 < 2) AS n_passed
     FROM ({_STARS}) JOIN documents USING (doc_id) GROUP BY source""",
 )
 def lint_report(spark, sf_dir):
-    violations = q.lint_star_import(_with_imports(spark, sf_dir), "text")
     sources = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return q.lint_report(violations.join(sources, "doc_id"), "source")
+    texts = _with_imports(spark, sf_dir).join(sources, "doc_id").drop("doc_id")
+    report = q.lint_report(q.lint_star_import(texts, "text"), "source")
+    return q.lint_summary(sources, report, "source").withColumn("codes", F.array_join("codes", ","))
 
 
 @query(

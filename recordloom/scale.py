@@ -42,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below this application's own folder, to be deleted with it."""
+    run = f"recordloom-{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark)}/{run}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
