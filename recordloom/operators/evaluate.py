@@ -70,23 +70,23 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
         "f1",
         _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
     )
-    columns = ["label", "precision", "recall", "f1", "support"]
+    metrics = ["precision", "recall", "f1"]
     n = F.sum("support")
 
-    def weighted(c: str) -> Column:
-        return _ratio(F.sum(F.col(c) * F.col("support")), n).alias(c)
-
-    total = n.alias("support")
-    accuracy = _ratio(F.sum("tp"), n)
-    rows = [
-        scored.agg(*[accuracy.alias(c) for c in columns[1:4]], total).withColumn("label", F.lit("accuracy")),
-        scored.agg(*[F.avg(c).alias(c) for c in columns[1:4]], total).withColumn("label", F.lit("macro avg")),
-        scored.agg(*[weighted(c) for c in columns[1:4]], total).withColumn("label", F.lit("weighted avg")),
-    ]
-    out = scored.select(columns)
-    for row in rows:
-        out = out.unionAll(row.select(columns))
-    return out
+    def row(label: str, values: list[Column]) -> Column:
+        named = [v.alias(c) for c, v in zip(metrics, values)]
+        return F.struct(F.lit(label).alias("label"), *named, n.alias("support"))
+
+    overall = _ratio(F.sum("tp"), n)
+    weighted = [_ratio(F.sum(F.col(c) * F.col("support")), n) for c in metrics]
+    totals = scored.agg(
+        F.array(
+            row("accuracy", [overall] * 3),
+            row("macro avg", [F.avg(c) for c in metrics]),
+            row("weighted avg", weighted),
+        ).alias("t")
+    ).select(F.inline("t"))
+    return scored.select("label", *metrics, "support").unionAll(totals)
 
 
 def accuracy(df: DataFrame, y: str, p: str, keys: list[str] = ()) -> DataFrame:

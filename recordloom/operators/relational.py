@@ -95,10 +95,11 @@ def _with_membership(df: DataFrame, key: str, members: DataFrame, member_key: st
     probes = df.filter(F.col(key).isNotNull())
     hot = _hot_keys(probes, key)
     if hot is None:
-        return probes.join(known, key, how)
+        return probes.join(known, key, how).select(df.columns)
     settled = F.broadcast(hot.join(known, key, how))
     rare = probes.join(F.broadcast(hot), key, "left_anti")
-    return probes.join(settled, key, "left_semi").unionAll(rare.join(known, key, how))
+    kept = probes.join(settled, key, "left_semi")
+    return kept.unionAll(rare.join(known, key, how)).select(df.columns)
 
 
 def membership(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:

@@ -105,7 +105,7 @@ def test_values(spark):
     assert [tuple(x) for x in df.select(result, error).collect()] == [
         (9, None), (None, "unknown operation: pow"), (None, "unknown operation: null"),
     ]
-    with pytest.raises(Exception, match="unknown operation: pow"):
+    with pytest.raises(Exception, match="unknown operation: (pow|null)"):
         df.select(v.op_dispatch_strict(F.lit(1), F.lit(2), F.col("op"))).collect()
     got = df.select(v.map_get(F.col("m"), "a"), v.map_get(F.col("m"), "a", 0), v.map_set_default(F.col("m"), "a", 7)).collect()
     assert [tuple(x) for x in got] == [(1, 1, {"a": 1}), (None, 0, {"a": 7}), (None, 0, {"b": 2, "a": 7})]
