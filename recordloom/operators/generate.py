@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.template import compiled, compiled_list, render_segments
+from ..functions.template import (
+    compiled,
+    compiled_list,
+    render_segment_lists,
+    render_segments,
+)
 from ..scale import (
     RANK_BUCKETS,
     at_or_before,
@@ -82,11 +87,11 @@ def render_samples(df: DataFrame) -> DataFrame:
 
     A row whose templates cannot render keeps null texts and its `render_error`.
     """
-    ok, ctx = F.col("render_error").isNull(), F.col("ctx")
+    ok = F.col("render_error").isNull()
     texts = {
-        "instruction": F.when(ok, render_segments(F.col("instruction_segments"), ctx)),
-        "code": F.when(ok, strip_text(render_segments(F.col("code_segments"), ctx))),
-        "tests": F.when(ok, F.transform("test_segments", lambda t: render_segments(t, ctx))),
+        "instruction": F.when(ok, render_segments("instruction_segments", "ctx")),
+        "code": F.when(ok, strip_text(render_segments("code_segments", "ctx"))),
+        "tests": F.when(ok, render_segment_lists("test_segments", "ctx")),
     }
     return pin(df, texts).drop("instruction_segments", "code_segments", "test_segments")
 
@@ -97,9 +102,7 @@ def render_defaults(catalog: DataFrame) -> DataFrame:
     bound = pin(
         ready, {"_c": compiled(F.col("raw_code")), "_ctx": default_context(F.col("parameters"))}
     )
-    shown = F.when(
-        F.col("_c.error").isNull(), render_segments(F.col("_c.segments"), F.col("_ctx"))
-    )
+    shown = F.when(F.col("_c.error").isNull(), render_segments("_c.segments", "_ctx"))
     return pin(
         bound, {"code": F.coalesce(shown, "raw_code"), "render_error": F.col("_c.error")}
     ).drop("_c", "_ctx")

@@ -67,7 +67,7 @@ def test_segment_target(spark):
     data = [(i, compile_json(t), ctx) for i, (t, _) in enumerate(CASES)]
     df = spark.createDataFrame(data, f"i int, j string, ctx map<string,{VALUE}>")
     done = df.withColumn("c", F.from_json("j", COMPILED)).select(
-        "i", "c.error", render_segments(F.col("c.segments"), F.col("ctx")).alias("text")
+        "i", "c.error", render_segments("c.segments", "ctx").alias("text")
     )
     for r in done.collect():
         assert r["error"] is None
