@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.values import is_integer
 from ..scale import (
-    BROADCAST_ROWS,
     TASK_ROWS,
     global_index,
-    largest_group,
     materialize,
     pin,
-    running,
+    running_blocks,
+    split_groups,
 )
 
 # A key with more than this share of the rows is handled apart from the others.
@@ -39,11 +38,12 @@ def group_lists(
 ) -> DataFrame:
     """(key, part, items) in input order; groups beyond `max_items` come in several parts."""
     rows = df.select(key, F.col(order).alias("_o"), F.col(value).alias("_v"))
-    if largest_group(rows, [key]) <= max_items:
-        parts = rows.withColumn("part", F.lit(0).cast("long"))
-    else:
-        placed = running(rows, [key], ["_o"], {"_pos": ("sum", F.lit(1))}, limit=max_items)
-        parts = placed.withColumn("part", F.floor(F.col("_pos") / max_items).cast("long"))
+    small, large = split_groups(rows, [key], max_items)
+    parts = small.withColumn("part", F.lit(0).cast("long"))
+    if large is not None:
+        placed = running_blocks(large, [key], ["_o"], {"_pos": ("sum", F.lit(1))})
+        part = F.floor(F.col("_pos") / max_items).cast("long")
+        parts = parts.unionAll(placed.select(key, "_o", "_v", part.alias("part")))
     lists = parts.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_o", "_v"))).alias("_l"))
     return lists.select(key, "part", F.transform("_l", lambda x: x["_v"]).alias("items"))
 
@@ -222,7 +222,7 @@ def _fold(items: Column, entry: Column) -> Column:
 
 
 def ledger(
-    df: DataFrame, key: str, order: str, amount: str, kind: str, block: int = BROADCAST_ROWS
+    df: DataFrame, key: str, order: str, amount: str, kind: str, block: int = TASK_ROWS
 ) -> DataFrame:
     """Balance and accepted/rejected counts per key after an ordered replay.
 
@@ -238,11 +238,18 @@ def ledger(
         F.col(kind).alias("kind"),
     )
     listed = F.array_sort(F.collect_list(F.struct("_o", "amount", "kind"))).alias("_moves")
-    if largest_group(moves, [key]) <= block:
-        done = moves.groupBy(key).agg(listed)
-        return done.select(key, _fold(F.col("_moves"), F.lit(0.0)).alias("_r")).select(key, "_r.*")
+    small, large = split_groups(moves, [key], block)
+    done = (
+        small.groupBy(key)
+        .agg(listed)
+        .select(key, _fold(F.col("_moves"), F.lit(0.0)).alias("_r"))
+        .select(key, "_r.*")
+    )
+    return done if large is None else done.unionAll(_ledger_blocks(large, key, listed, block))
+
 
-    placed = running(moves, [key], ["_o"], {"_pos": ("sum", F.lit(1))}, limit=block)
+def _ledger_blocks(moves: DataFrame, key: str, listed: Column, block: int) -> DataFrame:
+    placed = running_blocks(moves, [key], ["_o"], {"_pos": ("sum", F.lit(1))})
     blocks = materialize(
         placed.groupBy(key, F.floor(F.col("_pos") / block).cast("long").alias("_blk")).agg(listed),
         "ledger",

@@ -127,6 +127,23 @@ def global_index(
     )
 
 
+def split_groups(
+    df: DataFrame, keys: list[str], limit: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of groups with at most `limit` rows, rows of larger groups or None)."""
+    if largest_group(df, keys) <= limit:
+        return df, None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    named = [F.col(k).alias(f"_large_{k}") for k in keys]
+    large = materialize(counts.filter(F.col("_n") > limit).select(*named), "large-keys")
+    if is_small(large):
+        large = F.broadcast(large)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_large_{k}"))
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -139,16 +156,32 @@ def running(
 
     `aggs` maps an output name to (kind, column); kind is sum, max, min or lag
     (the previous row's value; pass a struct when the value itself may be null).
-    Sums start at 0, the others at null. The order must be unique in a group.
+    Sums start at 0, the others at null. The order must be unique in a group. Groups
+    of up to `limit` rows take a plain window, only larger ones the block path.
     """
-    if largest_group(df, keys) <= limit:
-        ordered = Window.partitionBy(*keys).orderBy(*order)
-        earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-        plain = {
-            name: _running_kind(kind, col, ordered, earlier) for name, (kind, col) in aggs.items()
-        }
-        return df.withColumns(plain)
+    if not keys:
+        if is_small(df, limit):
+            return _running_window(df, keys, order, aggs)
+        return running_blocks(df, keys, order, aggs, blocks)
+    small, large = split_groups(df, keys, limit)
+    done = _running_window(small, keys, order, aggs)
+    if large is None:
+        return done
+    return done.unionByName(running_blocks(large, keys, order, aggs, blocks))
+
+
+def _running_window(df: DataFrame, keys: list[str], order: list, aggs: dict) -> DataFrame:
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns(
+        {name: _running_kind(kind, col, ordered, earlier) for name, (kind, col) in aggs.items()}
+    )
+
 
+def running_blocks(
+    df: DataFrame, keys: list[str], order: list, aggs: dict, blocks: int | None = None
+) -> DataFrame:
+    """`running` for groups too large for one task: block-local windows plus carries."""
     inputs = {f"_in_{name}": col for name, (_, col) in aggs.items()}
     rows = range_blocks(df.withColumns(inputs), [*keys, *order], blocks)
     in_block = Window.partitionBy("_blk", *keys).orderBy("_idx")
@@ -214,22 +247,21 @@ def rows_at_ranks(
     if len(hist) > RANK_BUCKETS:
         raise ValueError(f"more than {RANK_BUCKETS} rank buckets")
     ends = list(accumulate(n for _, n in hist))
-    found: list[tuple | None] = []
+    wanted = {}  # rank -> (bucket, position inside it)
     for rank in ranks:
-        if rank < 1 or not ends or rank > ends[-1]:
-            found.append(None)
-            continue
-        at = bisect_left(ends, rank)
-        within = rank - (ends[at] - hist[at][1])
-        row = (
-            keyed.filter(F.col("_b") == F.lit(hist[at][0]))
-            .orderBy(*order)
-            .limit(within)
-            .agg(F.max(F.struct(*order)))
-            .first()[0]
-        )
-        found.append(tuple(row))
-    return found
+        if 1 <= rank <= (ends[-1] if ends else 0):
+            at = bisect_left(ends, rank)
+            wanted[rank] = (hist[at][0], rank - (ends[at] - hist[at][1]))
+    if not wanted:
+        return [None] * len(ranks)
+    # all wanted buckets in one pass; each holds about 1 / RANK_BUCKETS of the rows
+    inside = keyed.filter(F.col("_b").isin(sorted({b for b, _ in wanted.values()})))
+    placed = inside.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(*order)))
+    hit = F.lit(False)
+    for bucket_no, place in set(wanted.values()):
+        hit = hit | ((F.col("_b") == bucket_no) & (F.col("_rn") == place))
+    rows = {(r["_b"], r["_rn"]): tuple(r[c] for c in order) for r in placed.filter(hit).collect()}
+    return [rows[wanted[rank]] if rank in wanted else None for rank in ranks]
 
 
 def at_or_before(order: list[str], key: tuple | None) -> Column:
