@@ -351,7 +351,9 @@ def _flatten(nodes: list[dict], guards: list[dict]) -> list[dict]:
     flat = []
     for node in nodes:
         base = dict(kind=node["kind"], value=node.get("value", ""), filters=node.get("filters", []))
-        if node["kind"] in ("text", "var"):
+        if node["kind"] == "text" and flat and flat[-1]["kind"] == "text" and flat[-1]["guards"] == guards:
+            flat[-1]["value"] += node["value"]
+        elif node["kind"] in ("text", "var"):
             flat.append(dict(base, guards=guards, body=[]))
         elif node["kind"] == "for":
             body = []
@@ -409,7 +411,7 @@ def compiled_list(col: Column) -> Column:
 
 
 def _filtered_sql(text: str, items: str, filters: str) -> str:
-    return rf"""aggregate({filters},
+    return rf"""CASE WHEN size({filters}) = 0 THEN {text} ELSE aggregate({filters},
       CASE WHEN exists({filters}, f -> f.name = 'join')
         THEN array_join({items}, get({filters}, 0).a) ELSE {text} END,
       (acc, f) -> CASE f.name
@@ -418,7 +420,7 @@ def _filtered_sql(text: str, items: str, filters: str) -> str:
           transform(regexp_extract_all(acc, r'(\p{{L}}+|[^\p{{L}}]+)', 1), r -> initcap(r)), '')
         WHEN 'upper' THEN upper(acc)
         WHEN 'lower' THEN lower(acc)
-        ELSE acc END)"""
+        ELSE acc END) END"""
 
 
 _HOLDS = """coalesce(CASE g.op

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def clean_text(col: Column) -> Column:
     """Keep ASCII letters, digits and blanks; squeeze and trim blanks."""
-    kept = F.regexp_replace(col, r"[^a-zA-Z0-9\s]", "")
+    kept = F.regexp_replace(col, r"[^a-zA-Z0-9\s]+", "")
     return F.trim(F.regexp_replace(kept, r"\s+", " "))
 
 

@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import HASH_RANGE, draw
-from ..scale import TASK_ROWS, global_index, running
+from ..scale import (
+    TASK_ROWS,
+    global_index,
+    materialize,
+    running,
+    running_blocks,
+    running_window,
+    split_groups,
+)
 from .relational import bounded_values
 
 ALPHA = 0.05
@@ -111,9 +119,12 @@ def auc(df: DataFrame, keys: list[str], x: str, y: str, limit: int = TASK_ROWS)
 
     Equal points enclose no area, so they shrink to one before anything is ordered.
     """
-    points = df.select(
-        *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
-    ).distinct()
+    points = materialize(
+        df.select(
+            *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
+        ).distinct(),
+        "points",
+    )
     linked = running(points, keys, ["_x", "_y"], {"_before": ("lag", F.struct("_x", "_y"))}, limit)
     area = (F.col("_x") - F.col("_before._x")) * (F.col("_y") + F.col("_before._y")) / 2
     return linked.groupBy(*keys).agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("auc"))
@@ -197,11 +208,12 @@ def mann_whitney(
     Rows shrink to one per distinct value first; midranks follow from a running count.
     """
     is_a, is_b = F.col(group) == a, F.col(group) == b
-    values = (
+    counts = (
         df.filter(is_a | is_b)
         .groupBy(F.col(value).alias("_v"))
         .agg(F.count_if(is_a).alias("_a"), F.count_if(is_b).alias("_b"))
     )
+    values = materialize(counts, "values")
     ranked = running(values, [], ["_v"], {"_below": ("sum", F.col("_b"))}, limit)
     t = (F.col("_a") + F.col("_b")).cast("double")
     wins = F.col("_a").cast("double") * (F.col("_below") + F.col("_b") / 2.0)
@@ -303,35 +315,46 @@ def best_checkpoint(
     """
     mode = mode or ("min" if "loss" in metric else "max")
     rows = df.select(run, F.col(step).alias("_step"), F.col(metric).alias("_m"))
-    one = running(
-        rows, [run], ["_step"], {"_best": (mode, F.col("_m")), "_pos": ("sum", F.lit(1))}, limit
+    short, long = split_groups(rows, [run], limit)
+    seen = _tracked(short, run, mode, running_window)
+    if long is not None:
+        seen = seen.unionByName(_tracked(long, run, mode, running_blocks, materialize))
+    late = F.col("_since") >= patience
+    stop_pos = F.when(late, F.col("_pos"))
+    return seen.groupBy(run).agg(
+        F.coalesce(F.min_by("_at", stop_pos), F.max_by("_at", "_pos")).alias("best_step"),
+        F.coalesce(F.min_by("_top", stop_pos), F.max_by("_top", "_pos")).alias("best_metric"),
+        F.min(F.when(late, F.col("_step"))).alias("stop_step"),
+    )
+
+
+def _tracked(rows: DataFrame, run: str, mode: str, runner, between=lambda df: df) -> DataFrame:
+    """Per row: position, best step and metric so far, steps since the last gain."""
+    one = runner(
+        rows, [run], ["_step"], {"_best": (mode, F.col("_m")), "_pos": ("sum", F.lit(1))}
     )
     gain = F.col("_m") > F.col("_best") if mode == "max" else F.col("_m") < F.col("_best")
     better = F.col("_best").isNull() | gain
-    marked = one.withColumns(
-        {
-            "_hit": F.when(better, F.col("_pos")),
-            "_hit_step": F.when(better, F.col("_step")),
-        }
+    marked = between(
+        one.withColumns(
+            {
+                "_hit": F.when(better, F.col("_pos")),
+                "_hit_step": F.when(better, F.col("_step")),
+            }
+        )
     )
-    two = running(
+    two = runner(
         marked,
         [run],
         ["_step"],
         {"_hit0": ("max", F.col("_hit")), "_step0": ("max", F.col("_hit_step"))},
-        limit,
     )
     top = F.greatest if mode == "max" else F.least
-    seen = two.withColumns(
-        {
-            "_since": F.col("_pos") - F.greatest("_hit0", "_hit"),
-            "_at": F.greatest("_step0", "_hit_step"),
-            "_top": top("_best", "_m"),
-        }
-    )
-    stop_pos = F.when(F.col("_since") >= patience, F.col("_pos"))
-    return seen.groupBy(run).agg(
-        F.coalesce(F.min_by("_at", stop_pos), F.max_by("_at", "_pos")).alias("best_step"),
-        F.coalesce(F.min_by("_top", stop_pos), F.max_by("_top", "_pos")).alias("best_metric"),
-        F.min(F.when(F.col("_since") >= patience, F.col("_step"))).alias("stop_step"),
+    return two.select(
+        run,
+        "_step",
+        "_pos",
+        (F.col("_pos") - F.greatest("_hit0", "_hit")).alias("_since"),
+        F.greatest("_step0", "_hit_step").alias("_at"),
+        top("_best", "_m").alias("_top"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_string, sequence_starts
-from ..scale import global_index, running
+from ..scale import global_index, materialize, running
 
 UNK_ID, PAD_ID, FIRST_ID = 0, 1, 2
 # The broadcast part of a vocabulary: at most this many terms of this length.
@@ -118,7 +118,7 @@ def corpus_windows(
     if length >= block:
         raise ValueError("the block must be longer than the window")
     rows = docs.select(key, tokens.alias("_t"))
-    sizes = rows.select(key, F.size("_t").cast("long").alias("_n"))
+    sizes = materialize(rows.select(key, F.size("_t").cast("long").alias("_n")), "sizes")
     placed = running(sizes, [], [key], {"_off": ("sum", F.col("_n"))}, **bounds)
     size, length_ = F.lit(block).cast("long"), F.lit(length).cast("long")
     off, end = F.col("_off"), F.col("_off") + F.col("_n")

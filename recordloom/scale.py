@@ -161,16 +161,17 @@ def running(
     """
     if not keys:
         if is_small(df, limit):
-            return _running_window(df, keys, order, aggs)
+            return running_window(df, keys, order, aggs)
         return running_blocks(df, keys, order, aggs, blocks)
     small, large = split_groups(df, keys, limit)
-    done = _running_window(small, keys, order, aggs)
+    done = running_window(small, keys, order, aggs)
     if large is None:
         return done
     return done.unionByName(running_blocks(large, keys, order, aggs, blocks))
 
 
-def _running_window(df: DataFrame, keys: list[str], order: list, aggs: dict) -> DataFrame:
+def running_window(df: DataFrame, keys: list[str], order: list, aggs: dict) -> DataFrame:
+    """`running` for groups that each fit one task."""
     ordered = Window.partitionBy(*keys).orderBy(*order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumns(
