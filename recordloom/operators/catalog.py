@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.template import title_case
+from ..scale import materialize
 
 MISSING_BODY = "either components or template is required"
 DOUBLE_BODY = "components and template exclude each other"
@@ -69,11 +70,12 @@ def category_of(path_col="path"):
 def catalog_listing(df: DataFrame, fmt: str = "rows") -> DataFrame:
     """(category, id, description) sorted; `markdown` gives one `line` per row instead."""
     text = F.coalesce(F.col("metadata.description"), F.lit("No description."))
-    rows = df.filter(F.col("status") == "parsed").select(
+    listed = df.filter(F.col("status") == "parsed").select(
         category_of().alias("category"),
         F.coalesce("pattern_id", F.lit("N/A")).alias("id"),
         F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), "\n")[0].alias("description"),
     )
+    rows = materialize(listed, "listing")  # sorting and headings read it again
     if fmt == "rows":
         return rows.orderBy("category", "id")
     title = title_case(F.replace(F.col("category"), F.lit("_"), F.lit(" ")))

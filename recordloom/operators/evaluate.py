@@ -31,9 +31,16 @@ def _cells(df: DataFrame, y: str, p: str) -> DataFrame:
     return df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(df: DataFrame, y: str, p: str, max_classes: int = 1000) -> DataFrame:
-    """(y, p, n) for every pair of classes, zero cells included."""
+def confusion_matrix(
+    df: DataFrame, y: str, p: str, max_classes: int = 1000, dense: bool = True
+) -> DataFrame:
+    """(y, p, n) for every pair of classes, zero cells included unless `dense` is off.
+
+    The dense form of many classes would be mostly zeros, so it fails beyond `max_classes`.
+    """
     cells = _cells(df, y, p)
+    if not dense:
+        return cells
     classes = cells.select(F.explode(F.array("y", "p")).alias("c")).distinct()
     names = [r["c"] for r in bounded_values(classes, ["c"], max_classes)]
     every = F.array(*[F.lit(c) for c in names])

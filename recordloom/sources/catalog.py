@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.template import VALUE
+from ..scale import materialize
 
 PARAM = f"struct<type:string,description:string,default:{VALUE},options:array<{VALUE}>>"
 COMPONENTS = (
@@ -178,7 +179,8 @@ def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(good, bad): patterns that pass every check, and files that do not."""
     from ..operators.catalog import check_catalog, normalize_catalog
 
-    checked = check_catalog(parse_catalog(read_catalog_files(spark, path)))
+    # both results and every later use read the parsed rows, not the files
+    checked = materialize(check_catalog(parse_catalog(read_catalog_files(spark, path))), "catalog")
     ok = (F.col("status") == "parsed") & (F.size("errors") == 0)
     failed = (F.col("status") == "error") | ((F.col("status") == "parsed") & (F.size("errors") > 0))
     good = normalize_catalog(checked.filter(ok)).drop("status", "error", "errors", "type_errors")

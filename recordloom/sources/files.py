@@ -107,6 +107,8 @@ def write_fixed(df: DataFrame, column: str, dtype: str, path: str) -> int:
                 for values in pdf[column]:
                     out.write(np.asarray(values, dtype=code).tobytes())
                 n += len(pdf)
+        if store.get_file_info(f"{folder}/{part}").type != fs.FileType.NotFound:
+            store.delete_file(f"{folder}/{part}")  # left by an earlier run of this task
         store.move(hidden, f"{folder}/{part}")
         yield pd.DataFrame({"n": [n]})
 

@@ -19,6 +19,7 @@ def test_confusion_sums_to_n_and_has_zero_cells(spark):
     assert len(cells) == 9 and sum(c["n"] for c in cells) == 4
     with pytest.raises(ValueError):
         e.confusion_matrix(df, "y", "p", max_classes=2)
+    assert rows(e.confusion_matrix(df, "y", "p", 2, dense=False)) == [(0, 0, 1), (0, 1, 1), (2, 2, 2)]
 
 
 def test_report_by_hand(spark):

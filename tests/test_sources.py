@@ -24,6 +24,7 @@ def test_fixed_round_trip_in_ranges(spark, tmp_path, dtype, monkeypatch):
     df = spark.range(50).select(F.array(*[(F.col("id") + i).cast(dtype) for i in range(3)]).alias("v"))
     path = str(tmp_path / "out")
     assert files.write_fixed(df.repartition(3), "v", dtype, path) == 50
+    assert files.write_fixed(df.repartition(3), "v", dtype, path) == 50  # parts are replaced, not doubled
     back = files.read_fixed(spark, path, dtype, 3)
     assert sorted(r["items"] for r in back.collect()) == sorted(r["v"] for r in df.collect())
 
