@@ -108,16 +108,9 @@ def plan_cuts(groups: DataFrame, shards: int) -> tuple[list[int], list[int], int
 def _cells(groups: DataFrame, shift: int, inside: list[Cell] | None) -> list[Cell]:
     """Sums of key ranges of 2**shift keys: all of them, or those in the given ranges."""
     if inside is not None:
-        spans: list[list[int]] = []
-        for c in sorted(inside, key=lambda c: c.low):
-            if spans and spans[-1][1] == c.low:
-                spans[-1][1] = c.low + (1 << c.shift)
-            else:
-                spans.append([c.low, c.low + (1 << c.shift)])
-        key = F.col("key")
-        groups = groups.filter(
-            reduce(lambda a, b: a | b, [(key >= lo) & (key <= hi - 1) for lo, hi in spans])
-        )
+        above = inside[0].shift  # they all have the same
+        wanted = [c.low >> above for c in inside]
+        groups = groups.filter(F.shiftright("key", above).isin(wanted))
     sums = groups.groupBy(F.shiftright("key", shift).alias("cell")).agg(
         F.sum("bytes").alias("size"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("most")
     )
