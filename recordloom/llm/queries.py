@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..scale import spread
-from . import sharding, urlrules
+from . import decontaminate, licenses, mixing, sharding, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,19 @@ def url_filter(spark, sf_dir):
 @query("op4_sharding")
 def sharding_rows(spark, sf_dir):
     return sharding.shard_rows(documents(spark, sf_dir))
+
+
+@query("op2_license_scan")
+def license_scan(spark, sf_dir):
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+@query("op6_mixing")
+def mixing_rows(spark, sf_dir):
+    return mixing.mix_rows(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@query("op9_decontamination")
+def decontamination(spark, sf_dir):
+    items = read(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontaminate.contamination(documents(spark, sf_dir), items)
