@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..scale import spread
-from . import decontaminate, licenses, mixing, sharding, urlrules
+from . import decontaminate, licenses, mixing, passages, sharding, simhash, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,13 @@ def mixing_rows(spark, sf_dir):
 def decontamination(spark, sf_dir):
     items = read(spark, sf_dir, "benchmark", "item_id", "text")
     return decontaminate.contamination(documents(spark, sf_dir), items)
+
+
+@query("op8_simhash")
+def simhash_classes(spark, sf_dir):
+    return simhash.duplicate_classes(documents(spark, sf_dir))
+
+
+@query("op10_substring_dedup")
+def substring_dedup(spark, sf_dir):
+    return passages.remove_repeats(documents(spark, sf_dir))
