@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import letter_words, utf8
+from .words import letter_words, slices, utf8
 
 # Base phrases and their labels.
 PHRASES = [
@@ -206,7 +206,7 @@ def scan_licenses(
     scanner = Scanner(templates, phrases)
 
     def scan(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = {n: [] for n in _ARROW.names}
             rows["doc_id"] = batch.column(0)
             for text_ in utf8(batch.column(1)):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scale import materialize
-from .words import WordHash, blank_words, utf8
+from .words import WordHash, blank_words, slices, utf8
 
 WINDOW, PREFIX = 50, 8
 REACH = WINDOW - PREFIX  # places an anchor can stand behind the start of its window
@@ -46,53 +46,71 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return chosen, grams[chosen].view(np.int64)
 
 
+def _by_prefix(place: np.ndarray, gram: np.ndarray) -> list[dict]:
+    """One entry per prefix of a document, with all its places."""
+    order = np.argsort(gram, kind="stable")
+    h, place = gram[order], place[order]
+    cuts = np.flatnonzero(h[1:] != h[:-1]) + 1
+    firsts = np.concatenate([[0], cuts]) if len(h) else cuts
+    return [{"h": int(h[i]), "at": part.tolist()} for i, part in zip(firsts, np.split(place, cuts))]
+
+
 def _first_pass(batches):
     number = WordHash()
-    for batch in batches:
-        out = {"n": [], "sha": [], "h": [], "pos": []}
+    for batch in slices(batches):
+        out = {"n": [], "sha": [], "places": []}
         for text in utf8(batch.column(1)):
             words = blank_words(text)
             place, gram = anchors(np.array([number[w] for w in words], dtype=np.uint64))
             out["n"].append(len(words))
             out["sha"].append(hashlib.sha256(b" ".join(words)).hexdigest())
-            out["h"].append(gram)
-            out["pos"].append(place)
+            out["places"].append(_by_prefix(place, gram))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 pa.array(out["n"], pa.int64()),
                 pa.array(out["sha"], pa.string()),
-                pa.array(out["h"], pa.list_(pa.int64())),
-                pa.array(out["pos"], pa.list_(pa.int64())),
+                pa.array(out["places"], pa.list_(pa.struct([("h", pa.int64()), ("at", pa.list_(pa.int64()))]))),
             ],
-            names=["doc_id", "n_words", "sha", "h", "pos"],
+            names=["doc_id", "n_words", "sha", "places"],
         )
 
 
 _CONTEXT = "h long, doc_id long, pos long, before long, context binary, hot boolean"
 
 
+def distinct_contexts(words: list[bytes], hits: list[dict]) -> dict[tuple, list[int]]:
+    """(prefix hash, hot, words before, context) -> places of a document with that context.
+
+    A context is the words around an anchor that windows with it can hold. Text that goes
+    on repeating has few different ones.
+    """
+    found: dict[tuple, list[int]] = {}
+    for hit in hits:
+        for at in hit["at"]:
+            first = max(0, at - REACH)
+            context = b" ".join(words[first : at + WINDOW])
+            found.setdefault((hit["h"], hit["hot"], at - first, context), []).append(at)
+    return found
+
+
 def _contexts(batches):
-    """The words around each anchor that windows with it can hold."""
-    for batch in batches:
-        rows = {n: [] for n in ("h", "doc_id", "pos", "before", "context", "hot")}
+    """One row per distinct context of a document, at its first place."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+    names = ["h", "doc_id", "pos", "before", "context", "hot"]
+    for batch in slices(batches, 64):
+        rows = []
         for doc, text, sha, hits in zip(
             batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()
         ):
             words = blank_words(text)
-            if len({h["pos"] for h in hits}) and hashlib.sha256(b" ".join(words)).hexdigest() != sha:
+            if hashlib.sha256(b" ".join(words)).hexdigest() != sha:
                 continue  # another row with this id
-            for hit in hits:
-                at = hit["pos"]
-                first = max(0, at - REACH)
-                rows["h"].append(hit["h"])
-                rows["doc_id"].append(doc)
-                rows["pos"].append(at)
-                rows["before"].append(at - first)
-                rows["context"].append(b" ".join(words[first : at + WINDOW]))
-                rows["hot"].append(hit["hot"])
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
+            for (h, hot, before, context), places in distinct_contexts(words, hits).items():
+                rows.append((h, doc, places[0], before, context, hot))
+        for at in range(0, len(rows), 2000):
+            columns = zip(*rows[at : at + 2000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 class Tree:
@@ -170,7 +188,7 @@ def _trees(batches):
 
 def _windows(batches):
     """One row per window of an anchor whose prefix is too frequent: its words' digest."""
-    for batch in batches:
+    for batch in slices(batches, 500):
         rows = {"window": [], "doc_id": [], "pos": [], "o": []}
         for doc, at, before, context in zip(
             *(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "pos", "before", "context"))
@@ -187,34 +205,36 @@ def _windows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
 
 
-def _covered(masks: list[dict], n: int) -> np.ndarray:
+def _covered(places: np.ndarray, masks: np.ndarray, n: int) -> np.ndarray:
     """True for the words inside a repeated window."""
     edge = np.zeros(n + 1, np.int64)
-    for m in masks:
-        offsets = np.flatnonzero((m["mask"] >> np.arange(REACH + 1)) & 1)
-        np.add.at(edge, m["pos"] - offsets, 1)
-        np.add.at(edge, m["pos"] - offsets + WINDOW, -1)
+    for o in range(REACH + 1):
+        starts = places[(masks >> o) & 1 == 1] - o
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + WINDOW, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
 def _remove(batches):
-    for batch in batches:
-        out = {"edited": [], "edited_sha": [], "removed": [], "kept": [], "kept_text": []}
-        for doc, text, sha, masks in zip(
-            batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]
+    names = ["edited", "edited_sha", "removed", "kept", "kept_text"]
+    for batch in slices(batches):
+        out = []
+        for doc, text, sha, hits, masks in zip(
+            batch.column(0).to_pylist(), utf8(batch.column(1)), *(batch.column(i).to_pylist() for i in (2, 3, 4))
         ):
             words = blank_words(text)
             if hashlib.sha256(b" ".join(words)).hexdigest() != sha:
                 continue
-            gone = _covered(masks, len(words))
+            found: dict[int, int] = {}
+            for m in masks:
+                found[m["pos"]] = found.get(m["pos"], 0) | m["mask"]
+            same = [(p, found[at[0]]) for at in distinct_contexts(words, hits).values() if at[0] in found for p in at]
+            gone = _covered(*np.array(same, dtype=np.int64).T, len(words))
             kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
-            out["edited"].append(doc)
-            out["edited_sha"].append(sha)
-            out["removed"].append(int(gone.sum()))
-            out["kept"].append(hashlib.sha256(kept).hexdigest())
-            out["kept_text"].append(kept.decode())
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
+            out.append((doc, sha, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
 def remove_repeats(
@@ -231,24 +251,24 @@ def remove_repeats(
     """
     own = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(
-        own.mapInArrow(_first_pass, "doc_id long, n_words long, sha string, h array<long>, pos array<long>"), "passages"
+        own.mapInArrow(_first_pass, "doc_id long, n_words long, sha string, places array<struct<h:long,at:array<long>>>"), "passages"
     )
     named = rows.filter("doc_id is not null")
     first = named.groupBy("sha").agg(F.min("doc_id").alias("first"))
     # one document per word sequence goes on: the one with the smallest id
-    place = F.arrays_zip("h", "pos")
-    originals = named.filter(F.size("h") > 0).groupBy("sha").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by(place, F.col("doc_id")).alias("places")
+    originals = named.filter(F.size("places") > 0).groupBy("sha").agg(
+        F.min("doc_id").alias("doc_id"), F.min_by("places", "doc_id").alias("places")
     )
     suffixes = materialize(originals.select("doc_id", "sha", F.inline("places")), "anchors")
     shared = suffixes.groupBy("h").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.size("at")).alias("n")
     )
-    shared = shared.filter("low < high").select("h", (F.col("n") > group_rows).alias("hot"))
+    # written, so that adaptive execution can split the join below at a frequent prefix
+    shared = materialize(shared.filter("low < high").select("h", (F.col("n") > group_rows).alias("hot")), "shared")
     hits = (
         suffixes.join(shared, "h")
         .groupBy("doc_id", "sha")
-        .agg(F.collect_list(F.struct("pos", "h", "hot")).alias("hits"))  # a part of one document's words
+        .agg(F.collect_list(F.struct("h", "at", "hot")).alias("hits"))  # a part of one document's words
     )
     touched = materialize(own.join(hits, "doc_id").select("doc_id", "text", "sha", "hits"), "touched")
     contexts = touched.mapInArrow(_contexts, _CONTEXT)
@@ -262,7 +282,7 @@ def remove_repeats(
         )
         masks = masks.unionByName(later)
     by_doc = masks.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "mask")).alias("masks"))
-    edited = touched.drop("hits").join(by_doc, "doc_id").mapInArrow(
+    edited = touched.join(by_doc, "doc_id").select("doc_id", "text", "sha", "hits", "masks").mapInArrow(
         _remove, "edited long, edited_sha string, removed long, kept string, kept_text string"
     )
     if not with_text:
@@ -270,7 +290,7 @@ def remove_repeats(
     nothing = hashlib.sha256(b"").hexdigest()
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= WINDOW)
     same = (F.col("doc_id") == F.col("edited")) & (F.col("sha") == F.col("edited_sha"))
-    joined = rows.drop("h", "pos").join(first, "sha", "left").join(edited, same, "left")
+    joined = rows.drop("places").join(first, "sha", "left").join(edited, same, "left")
     columns = [
         F.col("doc_id"),
         F.col("n_words"),

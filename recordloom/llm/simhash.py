@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..scale import is_small, materialize
 from .components import components
-from .words import lower_blank_words, utf8
+from .words import lower_blank_words, slices, utf8
 
 SEED = 42
 HOT_BUCKET = 256  # fingerprints in one table bucket that are matched without a finer key
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, words: int, lanes: int = 1, doc: str = "doc_id
     """(doc_id, n_words, fp array<long>), one row per input row; null text has no words."""
 
     def scan(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fps, counts = [], []
             for t in utf8(batch.column(1)):
                 own = lower_blank_words(t)

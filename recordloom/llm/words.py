@@ -19,6 +19,13 @@ def utf8(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches, rows: int = 500):
+    """The batches in pieces, so that Python objects exist for a few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def blank_words(text: bytes | None) -> list[bytes]:
     """Runs of anything but blank and the control characters 9 to 13; null has none."""
     return text.split() if text else []
