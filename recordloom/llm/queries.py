@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..scale import spread
-from . import decontaminate, licenses, mixing, passages, sharding, simhash, urlrules
+from . import chat, decontaminate, licenses, mixing, passages, private, quality, sharding, simhash, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,25 @@ def simhash_classes(spark, sf_dir):
 @query("op10_substring_dedup")
 def substring_dedup(spark, sf_dir):
     return passages.remove_repeats(documents(spark, sf_dir))
+
+
+@query("op1_quality_rules")
+def quality_rules(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    trees = quality.fit_quality(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.judge_quality(docs, trees)
+
+
+@query("op5_private_data")
+def private_data(spark, sf_dir):
+    return private.private_spans(documents(spark, sf_dir))
+
+
+@query("op7_chat_format")
+def chat_format(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    # Fixed values of the contract: a conversation that looks like a template itself.
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    windows = chat.chat_windows(turns.unionByName(extra), chat.token_counter(spark))
+    return chat.read_back(windows)
