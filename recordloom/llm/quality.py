@@ -110,6 +110,13 @@ class Trees:
         return self.base + self.value[at].sum(axis=1)
 
 
+def _middles(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Thresholds half way between the values on both sides of each edge."""
+    distinct = np.unique(values)
+    after = np.searchsorted(distinct, edges, "right")
+    return (distinct[np.maximum(after - 1, 0)] + distinct[np.minimum(after, len(distinct) - 1)]) / 2
+
+
 def train(
     x: np.ndarray, y: np.ndarray, directions: list[int], trees: int = 60, depth: int = 4, rate: float = 0.2,
     bins: int = 64, min_rows: int = 20, penalty: float = 1.0,
@@ -121,6 +128,7 @@ def train(
     monotonic in each constrained feature.
     """
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
+    middles = [_middles(x[:, f], e) for f, e in enumerate(edges)]
     binned = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], axis=1)
     prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
     score = np.full(len(y), np.log(prior / (1 - prior)))
@@ -163,7 +171,7 @@ def train(
         if directions[f]:
             middle = (vl + vr) / 2
             bounds = [(low, middle), (middle, high)] if directions[f] > 0 else [(middle, high), (low, middle)]
-        nodes[me][0], nodes[me][1] = f, edges[f][k]
+        nodes[me][0], nodes[me][1] = f, middles[f][k]
         nodes[me][2] = grow(rows[goes], g, h, level + 1, *bounds[0])
         nodes[me][3] = grow(rows[~goes], g, h, level + 1, *bounds[1])
         return me
