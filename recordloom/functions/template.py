@@ -233,17 +233,59 @@ def title_case(col: Column) -> Column:
     return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
 
 
+def title_filter(col: Column) -> Column:
+    """Upper-case the first character after blanks, hyphens and opening brackets, lower-case the rest."""
+    return F.array_join(
+        F.transform(
+            F.regexp_extract_all(col, F.lit(_TITLE_RUNS), F.lit(1)),
+            lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, _ALL))),
+        ),
+        "",
+    )
+
+
+_ALL = 2**31 - 1
+_TITLE_BREAKS = r"\-\s\x1C-\x1F\x{85}\p{Z}(\{\[<"
+_TITLE_RUNS = rf"([{_TITLE_BREAKS}]+|[^{_TITLE_BREAKS}]+)"
+
+
+def _title_sql(text: str) -> str:
+    runs = f"regexp_extract_all({text}, r'{_TITLE_RUNS}', 1)"
+    return f"array_join(transform({runs}, r -> concat(upper(substring(r, 1, 1)), lower(substring(r, 2)))), '')"
+
+
+def _double_text(col: Column) -> Column:
+    """Shortest digits, plain from 1e-4 up to 1e16, else with a two-digit exponent."""
+    shown = col.cast("string")
+    plain = F.regexp_replace(shown.cast("decimal(38,20)").cast("string"), r"0+$", "")
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    parts = F.split(shown, "E")
+    power = F.get(parts, F.lit(1)).cast("int")
+    sign = F.when(power < 0, F.lit("-")).otherwise(F.lit("+"))
+    digits = F.abs(power).cast("string")
+    digits = F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits)
+    wide = F.concat(F.regexp_replace(parts[0], r"\.0$", ""), F.lit("e"), sign, digits)
+    return (
+        F.when(F.isnan(col), F.lit("nan"))
+        .when(F.abs(col) == float("inf"), F.when(col > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(~F.contains(shown, F.lit("E")), shown)
+        .when((F.abs(col) >= 1e-4) & (F.abs(col) < 1e16), plain)
+        .otherwise(wide)
+    )
+
+
 def _text_of(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         shown = F.when(col, F.lit("True")).otherwise(F.lit("False"))
         return F.when(col.isNull(), F.lit("None")).otherwise(shown)
-    return F.coalesce(col.cast("string"), F.lit("None"))
+    shown = _double_text(col) if isinstance(dtype, T.DoubleType) else col.cast("string")
+    return F.coalesce(shown, F.lit("None"))
 
 
 def _apply_filter(name: str, a, b, col: Column) -> Column:
     return {
         "replace": lambda: F.replace(col, a, b),
-        "title": lambda: title_case(col),
+        "title": lambda: title_filter(col),
         "upper": lambda: F.upper(col),
         "lower": lambda: F.lower(col),
     }[name]()
@@ -416,8 +458,7 @@ def _filtered_sql(text: str, items: str, filters: str) -> str:
         THEN array_join({items}, get({filters}, 0).a) ELSE {text} END,
       (acc, f) -> CASE f.name
         WHEN 'replace' THEN replace(acc, f.a, f.b)
-        WHEN 'title' THEN array_join(
-          transform(regexp_extract_all(acc, r'(\p{{L}}+|[^\p{{L}}]+)', 1), r -> initcap(r)), '')
+        WHEN 'title' THEN {_title_sql('acc')}
         WHEN 'upper' THEN upper(acc)
         WHEN 'lower' THEN lower(acc)
         ELSE acc END) END"""

@@ -260,23 +260,33 @@ def generate_attempts(
     return kept.unionAll(broken)
 
 
+# Attempts per wanted sample in the first round.
+FIRST_FACTOR = 4
+
+
 def generate_dataset(
     catalog: DataFrame, n: int, seed: int, max_factor: int = 200, validators: list | None = None
 ) -> tuple[DataFrame, dict]:
     """The first n accepted samples of at most n * max_factor attempts, and a report.
 
-    The stop point is found as an exact rank from a histogram of attempt numbers, so
-    no global sort or single-task limit is needed.
+    Attempts never depend on later ones, so they are made in rounds, each with twice as
+    many as the one before, until n are accepted or the ceiling is reached. The stop
+    point is found as an exact rank from a histogram of attempt numbers, so no global
+    sort or single-task limit is needed.
     """
     spark = catalog.sparkSession
-    total = n * max_factor
-    attempts = spark.range(total).withColumnRenamed("id", "attempt")
-    judged = materialize(generate_attempts(catalog, attempts, seed, validators), "samples")
-    accepted = judged.filter(F.col("outcome") == "accepted")
-    width = max(1, -(-total // RANK_BUCKETS))
-    cut = rows_at_ranks(
-        accepted, F.floor(F.col("attempt") / width).cast("long"), ["attempt"], [n]
-    )[0]
+    ceiling, factor, cut = n * max_factor, FIRST_FACTOR, None
+    while True:
+        total = min(ceiling, n * factor)
+        attempts = spark.range(total).withColumnRenamed("id", "attempt")
+        judged = materialize(generate_attempts(catalog, attempts, seed, validators), "samples")
+        accepted = judged.filter(F.col("outcome") == "accepted")
+        width = max(1, -(-total // RANK_BUCKETS))
+        bucket = F.floor(F.col("attempt") / width).cast("long")
+        cut = rows_at_ranks(accepted, bucket, ["attempt"], [n])[0]
+        if cut is not None or total >= ceiling:
+            break
+        factor *= 2
     used = total if cut is None else cut[0] + 1
     if cut is not None:
         accepted = accepted.filter(at_or_before(["attempt"], cut))

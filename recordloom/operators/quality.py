@@ -55,8 +55,12 @@ def _facts(code: str | None) -> tuple:
                 text = lines[node.lineno - 1].encode()[: node.col_offset].decode()
                 stars.append({"line": node.lineno, "column": len(text)})
             else:
-                defined.add(node.asname or node.name)
-    return None, stars, sorted(used), sorted(defined)
+                defined.add(node.asname or node.name.split(".")[0])
+        elif isinstance(node, (ast.ExceptHandler, ast.MatchAs, ast.MatchStar)):
+            defined.add(node.name)
+        elif isinstance(node, ast.MatchMapping):
+            defined.add(node.rest)
+    return None, stars, sorted(used), sorted(defined - {None})
 
 
 def with_code_facts(df: DataFrame, col: str, out: str = "_facts") -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import normalize_string, sequence_starts
-from ..scale import global_index, materialize, running
+from ..scale import global_index, materialize, pin, running
 
 UNK_ID, PAD_ID, FIRST_ID = 0, 1, 2
 # The broadcast part of a vocabulary: at most this many terms of this length.
@@ -29,14 +30,13 @@ def term_counts(tokens: DataFrame) -> DataFrame:
 def term_stats(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     """Count and first place (document, position) of each term.
 
-    The place is one fixed-width number, so the grouping stays a hash aggregation;
-    document keys too wide for a packed long take a decimal.
+    For whole-number keys the place is one fixed-width number, so the grouping stays a
+    hash aggregation; other keys, text above all, give a (key, pos) struct. The type
+    follows the key's type only, never the data.
     """
-    low, high = docs.agg(F.min(key), F.max(key)).first()
-    packed = low is None or (low >= 0 and high < 1 << 32)
-    wide = "bigint" if packed else "decimal(20,0)"
-    scale = F.lit(1 << 31).cast("bigint" if packed else "decimal(10,0)")
-    place = F.col(key).cast(wide) * scale + F.col("pos")
+    whole = isinstance(docs.schema[key].dataType, T.IntegralType)
+    packed = F.col(key).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    place = packed if whole else F.struct(F.col(key).alias("key"), "pos")
     return (
         token_rows(docs, key, tokens)
         .withColumn("_at", place)
@@ -95,15 +95,25 @@ def corpus_metadata(
 
 
 def sequence_windows(df: DataFrame, tokens: Column, length: int) -> DataFrame:
-    """Stride-1 windows inside each row: start, x (length tokens), y (shifted by one)."""
-    ready = df.withColumn("_tokens", tokens)
-    starts = ready.withColumn("start", F.explode(sequence_starts(F.col("_tokens"), length)))
-    return starts.withColumns(
-        {
-            "x": F.slice("_tokens", F.col("start") + 1, F.lit(length)),
-            "y": F.slice("_tokens", F.col("start") + 2, F.lit(length)),
-        }
-    ).drop("_tokens")
+    """Stride-1 windows inside each row: start, x (length tokens), y (shifted by one).
+
+    The windows are cut inside one expression, so only they are copied, never the token array.
+    """
+    ready = pin(df, {"_tokens": tokens})
+    starts = sequence_starts(F.col("_tokens"), length)
+    return ready.select(*df.columns, F.inline(_windows_at("_tokens", starts, length)))
+
+
+def _windows_at(tokens: str, starts: Column, length: int) -> Column:
+    """array<struct<start, x, y>> of the windows of a token array."""
+    return F.transform(
+        starts,
+        lambda i: F.struct(
+            i.alias("start"),
+            F.slice(F.col(tokens), i + 1, F.lit(length)).alias("x"),
+            F.slice(F.col(tokens), i + 2, F.lit(length)).alias("y"),
+        ),
+    )
 
 
 def corpus_windows(
@@ -114,9 +124,9 @@ def corpus_windows(
     A running sum over the documents places each one in the stream. Documents are then
     sliced into stream blocks that also hold the first tokens of the next block, so every
     window forms inside one bounded array and long documents spread over many blocks.
+    A block is at least twice as long as the window.
     """
-    if length >= block:
-        raise ValueError("the block must be longer than the window")
+    block = max(block, 2 * length)
     rows = docs.select(key, tokens.alias("_t"))
     sizes = materialize(rows.select(key, F.size("_t").cast("long").alias("_n")), "sizes")
     placed = running(sizes, [], [key], {"_off": ("sum", F.col("_n"))}, **bounds)
@@ -136,11 +146,8 @@ def corpus_windows(
     )
     count = F.least(F.size("_t") - F.lit(length), F.lit(block))
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return blocks.withColumn("_i", F.explode(starts)).select(
-        (F.col("_b") * size + F.col("_i")).alias("start"),
-        F.slice("_t", F.col("_i") + 1, F.lit(length)).alias("x"),
-        F.slice("_t", F.col("_i") + 2, F.lit(length)).alias("y"),
-    )
+    windows = blocks.select("_b", F.inline(_windows_at("_t", starts, length)))
+    return windows.select((F.col("_b") * size + F.col("start")).alias("start"), "x", "y")
 
 
 def require_windows(n_tokens: int, length: int) -> int:

@@ -435,7 +435,7 @@ def element_dropout(spark, sf_dir):
 _FOCAL = f"""
 (SELECT label, 0.25 * (1 - exp(-ce)) ^ 2 * ce AS loss FROM (SELECT label,
    list_max(v) + ln(list_sum(list_transform(v, lambda x: exp(x - list_max(v))))) - v[label + 1] AS ce
-   FROM (SELECT label, {_E}[1:10] AS v FROM embeddings)))"""
+   FROM (SELECT label, {_E} AS v FROM embeddings)))"""
 
 
 @query(
@@ -445,8 +445,7 @@ _FOCAL = f"""
     FROM {_FOCAL} GROUP BY label""",
 )
 def focal_loss(spark, sf_dir):
-    logits = F.slice("v", 1, 10)
-    loss = a.focal_loss(logits, F.col("label"), 0.25, 2.0)
+    loss = a.focal_loss(F.col("v"), F.col("label"), 0.25, 2.0)
     rows = _vectors(spark, sf_dir).select(F.col("label").cast("long").alias("label"), loss.alias("loss"))
     return rows.groupBy("label").agg(
         F.round(F.avg("loss"), 6).alias("mean_loss"),

@@ -226,9 +226,9 @@ def attempts(spark, sf_dir):
 
 
 def flagship(spark, sf_dir):
-    """As many records as the catalog has patterns, from at most eight attempts each."""
+    """As many records as the catalog has patterns, from at most 200 attempts each."""
     catalog = part_catalog(spark, sf_dir)
-    samples, report = g.generate_dataset(catalog, catalog.count(), SEED, max_factor=8)
+    samples, report = g.generate_dataset(catalog, catalog.count(), SEED)
     return samples, report
 
 
@@ -236,7 +236,7 @@ def flagship(spark, sf_dir):
     "generate_dataset",
     f"""
     WITH size AS (SELECT count(*) AS n FROM part),
-    attempts AS (SELECT unnest(generate_series(0, (SELECT n * 8 - 1 FROM size))) AS o_orderkey),
+    attempts AS (SELECT unnest(generate_series(0, (SELECT n * 200 - 1 FROM size))) AS o_orderkey),
     judged AS ({_JUDGED.replace('FROM orders)', 'FROM attempts)')})
     SELECT attempt, pattern_id, instruction, '' AS input, code AS output
     FROM judged WHERE ok ORDER BY attempt LIMIT (SELECT n FROM size)""",

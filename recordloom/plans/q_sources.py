@@ -95,11 +95,6 @@ def scan_fixed_records(spark, sf_dir):
     )
 
 
-@query("locate_files")
-def locate_files(spark, sf_dir):
-    return files.list_files(spark, sf_dir, "*.parquet")
-
-
 RECORDS_SQL = """
 SELECT conv_id, turn, text AS instruction, '' AS input, next_text AS output
 FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
@@ -129,6 +124,14 @@ def sink_csv(spark, sf_dir):
     return files.read_csv(spark, path, orders.schema)
 
 
+@query("sink_csv_texts", "SELECT doc_id, text FROM documents")
+def sink_csv_texts(spark, sf_dir):
+    path = scratch_path(spark, "csv-texts")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files.write_csv(docs, path)
+    return files.read_csv(spark, path, docs.schema, multi_line=True)
+
+
 @query(
     "sink_corpus",
     f"""

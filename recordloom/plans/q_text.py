@@ -31,7 +31,7 @@ def _vocab(spark, sf_dir):
 @query(
     "clean_text",
     r"""
-    SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[^a-zA-Z0-9\s]', '', 'g'), '\s+', ' ', 'g')) AS clean
+    SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[^a-zA-Z0-9\s\x0b\x1c-\x1f\x{85}\p{Z}]', '', 'g'), '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g')) AS clean
     FROM documents""",
 )
 def clean(spark, sf_dir):
@@ -42,7 +42,7 @@ def clean(spark, sf_dir):
     "tokenize_ws",
     r"""
     SELECT doc_id, len(l) AS n, array_to_string(l, ' ') AS tokens
-    FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda t: t <> '') AS l FROM documents)""",
+    FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+'), lambda t: t <> '') AS l FROM documents)""",
 )
 def ws(spark, sf_dir):
     tokens = tokenize_ws(F.col("text"))

@@ -90,7 +90,8 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 def range_blocks(df: DataFrame, order: list, blocks: int | None = None) -> DataFrame:
     """Rows split into ordered blocks: `_blk` grows with the order, `_idx` counts inside it."""
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = blocks or max(least, -(-df.count() // TASK_ROWS))  # a block holds about TASK_ROWS at most
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

@@ -34,8 +34,14 @@ def count_matching(lines: DataFrame, token: str, column: str = "value") -> DataF
 # -------------------------------------------------------------------------- csv
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, columns found by name; a missing one is an error."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header, columns found by name; a missing one is an error.
+
+    A file whose header differs from the first one's is an error too. `multi_line` reads
+    quoted line breaks as part of a value; files are then not split.
+    """
     header = spark.read.option("header", True).csv(path).columns
     missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
@@ -45,7 +51,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
         spark.read.option("header", True)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("enforceSchema", False)
         .schema(full)
         .csv(path)
         .select(*[f.name for f in schema.fields])
@@ -88,31 +95,41 @@ def write_fixed(df: DataFrame, column: str, dtype: str, path: str) -> int:
     """Numeric arrays as packed little-endian records, one file per task.
 
     A task writes under a temporary name and moves the complete file in place, so a
-    repeated task replaces its own file only. Returns the number of records.
+    repeated task replaces its own file only. Parts that an earlier write with more tasks
+    left in the folder are removed when all tasks are done. Returns the number of records.
     """
+    from pyarrow import fs
+
     code = _NUMPY[dtype]
+    uri = _uri(path) if ":" in path else f"file://{path}"
+    store, folder = fs.FileSystem.from_uri(uri)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        store, folder = fs.FileSystem.from_uri(_uri(path) if ":" in path else f"file://{path}")
+        store, folder = fs.FileSystem.from_uri(uri)
         store.create_dir(folder, recursive=True)
         part = f"part-{ctx.partitionId():05d}"
         hidden = f"{folder}/_{part}-{ctx.taskAttemptId()}"
         n = 0
         with store.open_output_stream(hidden) as out:
             for pdf in batches:
-                for values in pdf[column]:
-                    out.write(np.asarray(values, dtype=code).tobytes())
+                if len(pdf):
+                    out.write(np.concatenate(pdf[column].to_list()).astype(code).tobytes())
                 n += len(pdf)
         if store.get_file_info(f"{folder}/{part}").type != fs.FileType.NotFound:
             store.delete_file(f"{folder}/{part}")  # left by an earlier run of this task
         store.move(hidden, f"{folder}/{part}")
-        yield pd.DataFrame({"n": [n]})
-
-    return df.select(column).mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+        yield pd.DataFrame({"part": [part], "n": [n]})
+
+    written = df.select(column).mapInPandas(write, "part string, n long").collect()  # a row per task
+    parts = {r["part"] for r in written}
+    for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if f.base_name.startswith("part-") and f.base_name not in parts:
+            store.delete_file(f.path)
+    return sum(r["n"] for r in written)
 
 
 def read_fixed(spark: SparkSession, path: str, dtype: str, width: int) -> DataFrame:

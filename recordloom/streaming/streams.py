@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,16 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
-def _use_disk_state(df: DataFrame) -> None:
-    """Keep seen hashes on executor disk rather than on the heap."""
-    df.sparkSession.conf.set(_STORE, _ROCKS)
+@contextmanager
+def _disk_state(df: DataFrame):
+    """A query started inside keeps its state on executor disk; the session's setting comes back."""
+    conf = df.sparkSession.conf
+    before = conf.get(_STORE, None)
+    conf.set(_STORE, _ROCKS)
+    try:
+        yield
+    finally:
+        conf.set(_STORE, before) if before else conf.unset(_STORE)
 
 
 def read_parquet_stream(spark, folder: str, schema: T.StructType, glob: str = "*") -> DataFrame:
@@ -34,7 +43,6 @@ def render_stream(
     most SALTS rows of it. With a watermark (column, delay) old hashes leave the state,
     and uniqueness holds within that delay.
     """
-    _use_disk_state(stream)
     time = [F.col(watermark[0])] if watermark else []
     text = template_column(template, stream.schema)
     rendered = stream.select(
@@ -52,14 +60,15 @@ def render_stream(
 
 def write_unique(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append all rows available now to Parquet, exactly once, then stop."""
-    return (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .outputMode("append")
-        .start()
-    )
+    with _disk_state(stream):
+        return (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .outputMode("append")
+            .start()
+        )
 
 
 def count_stream(lines: DataFrame, token: str, column: str = "value") -> DataFrame:

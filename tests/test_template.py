@@ -83,3 +83,15 @@ def test_outside_the_subset(template):
 def test_null_and_missing(spark):
     df = spark.sql("SELECT CAST(NULL AS string) AS s, CAST(NULL AS boolean) AS b")
     assert render_table(df, "{{ s }}{{ b }}{% if b %}x{% endif %}").first()["text"] == "NoneNone"
+
+
+def test_title_filter_and_doubles_follow_the_template_language(spark):
+    from recordloom.functions.template import template_column
+
+    names = ["foo_bar l'amour 3d", "x-ray (beta) [two]<three>", "ÉTÉ a\u00a0b", ""]
+    shown = ["Foo_bar L'amour 3d", "X-Ray (Beta) [Two]<Three>", "Été A\u00a0B", ""]
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    assert [r[0] for r in df.select(template_column("{{ s | title }}", df.schema)).collect()] == shown
+    values = [12345678.9, 0.0001, 1e-05, 1e16, 123456789012345.6, -2.5e-7, 1e7, 0.1, 3.0, 1.5e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(template_column("{{ v }}", df.schema)).collect()] == [str(v) for v in values]

@@ -92,3 +92,27 @@ def test_small_text_operators(spark):
         t.upper_column(df, "missing")
     mails = spark.createDataFrame([("a@b.co",), ("a@b",), ("@b.co",)], "m string")
     assert t.regex_matches(mails, "m", r"^[\w.+-]+@[\w-]+\.[\w.-]+$").count() == 1
+
+
+def test_windows_of_a_very_long_text(spark):
+    df = spark.range(1).select("id", F.transform(F.sequence(F.lit(1), F.lit(200_000)), lambda i: i).alias("a"))
+    got = t.sequence_windows(df, F.col("a"), 8)
+    assert got.agg(F.count(F.lit(1)), F.sum(F.col("y")[7])).first()[:] == (199_992, sum(range(9, 200_001)))
+
+
+def test_blocks_grow_with_the_window(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "d e f g")], "k long, text string")
+    got = t.corpus_windows(df, "k", F.split("text", " "), 5, block=2)
+    assert [tuple(r) for r in got.orderBy("start").collect()] == [
+        (0, list("abcde"), list("bcdef")),
+        (1, list("bcdef"), list("cdefg")),
+    ]
+
+
+def test_text_keys_and_unicode_blanks(spark):
+    df = spark.createDataFrame([("b", "x y"), ("a", "y z")], "k string, text string")
+    stats = t.term_stats(df, "k", F.split("text", " "))
+    assert [r["term"] for r in t.assign_ids(t.build_vocab(stats, 1)).orderBy("id").collect()][-3:] == ["y", "z", "x"]
+    blanks = spark.createDataFrame([("a\u00a0b\u2003c d\x1ce",)], "s string")
+    row = blanks.select(clean_text(F.col("s")), tokenize_ws(F.col("s"))).first()
+    assert tuple(row) == ("a b c d e", ["a", "b", "c", "d", "e"])
