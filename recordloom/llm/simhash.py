@@ -172,9 +172,9 @@ def _distance(a: Column, b: Column) -> Column:
     return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
 
 
-LANES = 8  # 512 bits
-TABLES, KEY_BITS = 130, 24
-MOST_APART = 92  # of 512 bits; shingle sets with a Jaccard similarity of 0.8 are some 78 apart, of 0.7 some 98
+LANES = 4  # 256 bits
+TABLES, KEY_BITS = 100, 24
+MOST_APART = 46  # of 256 bits; sets of shingles with a Jaccard similarity of 0.8 are 39 apart on average
 
 
 def near_classes(
@@ -188,10 +188,10 @@ def near_classes(
 ) -> DataFrame:
     """(doc_id, component_id): classes of documents with a similarity of about 0.8 or more.
 
-    Fingerprints of 512 bits over shingles of `words` words. At 0.8, balls of a useful radius
+    Fingerprints of 256 bits over shingles of `words` words. At 0.8, balls of a useful radius
     around long segments would be too large, so there are many short segments instead, each
-    `key_bits` seeded positions, with balls of radius 0: a pair at 0.8 meets in one of 130
-    segments with a chance of about 0.95, at 0.85 of 0.99. Within a bucket all members are held against
+    `key_bits` seeded positions, with balls of radius 0: a pair at 0.8 meets in one of 100
+    segments with a chance of 0.9, at 0.85 of 0.99. Within a bucket all members are held against
     its smallest node only, never against each other; a link needs `most_apart` or fewer
     differing bits. For corpora beyond some 2**key_bits / 50 documents raise `key_bits` (and `tables`).
     Nulls, repeats and empty tables as in `duplicate_classes`.
@@ -203,6 +203,7 @@ def near_classes(
     keyed = nodes.select("node", "fp").mapInArrow(
         _segment_rows(64 * LANES, tables, key_bits, SEED), "node long, key long"
     )
+    keyed = materialize(keyed, "segments")
     centres = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pairs = keyed.join(centres, "key").filter("node <> centre").select("node", "centre").distinct()
     prints = nodes.select("node", "fp")
