@@ -174,7 +174,41 @@ def _distance(a: Column, b: Column) -> Column:
 
 LANES = 4  # 256 bits
 TABLES, KEY_BITS = 100, 24
-MOST_APART = 46  # of 256 bits; sets of shingles with a Jaccard similarity of 0.8 are 39 apart on average
+SIMILARITY = 0.8
+# Of 256 bits, fingerprints of sets with a Jaccard similarity of 0.8 are 39 apart on average,
+# with a deviation of 6: up to SURE_APART bits a pair is taken as it stands, up to MOST_APART
+# its sets of shingles are compared.
+SURE_APART, MOST_APART = 20, 60
+
+
+def _shingle_sets(wanted: DataFrame, docs: DataFrame, words: int, doc: str, text: str) -> DataFrame:
+    """(node, shingles array<int>) of the nodes `wanted` (node, first): 32 bits of each distinct shingle's hash."""
+
+    def scan(batches):
+        for batch in slices(batches):
+            nodes, sets = [], []
+            for node, fp, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
+                hashes = shingle_hashes(lower_blank_words(t), words)
+                if fingerprint(hashes, len(fp)).tolist() == fp:  # rows of one id may differ in text
+                    nodes.append(node)
+                    sets.append(np.unique(hashes.astype(np.uint32).view(np.int32)))
+            made = [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(made, names=["node", "shingles"])
+
+    own = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    found = own.join(wanted, own["doc_id"].eqNullSafe(wanted["first"])).select("node", "fp", "text")
+    found = found.mapInArrow(scan, "node long, shingles array<int>")
+    return found.groupBy("node").agg(F.min("shingles").alias("shingles"))
+
+
+def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, least: float, doc: str, text: str) -> DataFrame:
+    """The rows (node, centre) of `pairs` whose sets of shingles have a Jaccard similarity of `least` or more."""
+    ends = pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node"))).distinct()
+    sets = materialize(_shingle_sets(nodes.join(ends, "node"), docs, words, doc, text), "shingles")
+    others = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("others"))
+    both = F.size(F.array_intersect("shingles", "others"))
+    all_of = F.size("shingles") + F.size("others") - both
+    return pairs.join(sets, "node").join(others, "centre").filter(both >= all_of * least).select("node", "centre")
 
 
 def near_classes(
@@ -183,18 +217,22 @@ def near_classes(
     tables: int = TABLES,
     key_bits: int = KEY_BITS,
     most_apart: int = MOST_APART,
+    sure_apart: int = SURE_APART,
+    similarity: float = SIMILARITY,
     doc: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, component_id): classes of documents with a similarity of about 0.8 or more.
+    """(doc_id, component_id): classes of documents linked by a similarity of `similarity` or more.
 
     Fingerprints of 256 bits over shingles of `words` words. At 0.8, balls of a useful radius
     around long segments would be too large, so there are many short segments instead, each
     `key_bits` seeded positions, with balls of radius 0: a pair at 0.8 meets in one of 100
-    segments with a chance of 0.9, at 0.85 of 0.99. Within a bucket all members are held against
-    its smallest node only, never against each other; a link needs `most_apart` or fewer
-    differing bits. For corpora beyond some 2**key_bits / 50 documents raise `key_bits` (and `tables`).
-    Nulls, repeats and empty tables as in `duplicate_classes`.
+    segments with a chance of 0.86, at 0.85 of 0.97. Within a bucket all members are held against
+    its smallest node only, never against each other. A pair links at `sure_apart` or fewer
+    differing bits; one that differs in up to `most_apart` links if its sets of shingles
+    are similar enough. First each node is compared with its nearest partner, then all other
+    pairs that are not yet in one class. For corpora beyond some 2**key_bits / 50 documents
+    raise `key_bits` (and `tables`). Nulls, repeats and empty tables as in `duplicate_classes`.
     """
     rows = materialize(fingerprints(docs, words, LANES, doc, text).select("doc_id", "fp"), "fingerprints")
     nodes = materialize(
@@ -203,16 +241,32 @@ def near_classes(
     keyed = nodes.select("node", "fp").mapInArrow(
         _segment_rows(64 * LANES, tables, key_bits, SEED), "node long, key long"
     )
-    keyed = materialize(keyed, "segments")
     centres = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pairs = keyed.join(centres, "key").filter("node <> centre").select("node", "centre").distinct()
     prints = nodes.select("node", "fp")
-    apart = (
+    near = materialize(
         pairs.join(prints, "node")
         .join(prints.select(F.col("node").alias("centre"), F.col("fp").alias("other")), "centre")
-        .filter(_distance(F.col("fp"), F.col("other")) <= most_apart)
+        .select("node", "centre", _distance(F.col("fp"), F.col("other")).alias("apart"))
+        .filter(F.col("apart") <= most_apart),
+        "near",
+    )
+    ends = lambda links: links.select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    compared = lambda links: _similar(links, nodes, docs, words, similarity, doc, text)
+    unsure = near.groupBy("node").agg(F.min(F.struct("apart", "centre")).alias("best"))
+    unsure = unsure.select("node", "best.*").filter(F.col("apart") > sure_apart).select("node", "centre")
+    sure = near.filter(F.col("apart") <= sure_apart)
+    first = materialize(ends(sure).unionByName(ends(compared(unsure))), "first-links")
+    roots = materialize(components(first), "first-roots")
+    rest = near.filter(F.col("apart") > sure_apart).select("node", "centre").join(unsure, ["node", "centre"], "left_anti")
+    rest = rest.join(roots.withColumnRenamed("root", "r"), "node", "left").join(
+        roots.select(F.col("node").alias("centre"), F.col("root").alias("s")), "centre", "left"
     )
-    roots = components(apart.select(F.col("node").alias("a"), F.col("centre").alias("b")))
+    rest = rest.filter(F.coalesce("r", "node") != F.coalesce("s", "centre")).select("node", "centre")
+    rest = materialize(rest, "rest")
+    # classes are enough as ends of the links found now
+    later = ends(compared(rest)).unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = components(later)
     placed = nodes.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(names, "root").select("fp", "component_id")
