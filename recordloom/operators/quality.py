@@ -23,6 +23,7 @@ CODE_FACTS = T.StructType(
         T.StructField("error", T.StringType()),
         T.StructField("stars", T.ArrayType(_PLACE)),
         T.StructField("used", T.ArrayType(T.StringType())),
+        T.StructField("used_at", T.ArrayType(_PLACE)),
         T.StructField("defined", T.ArrayType(T.StringType())),
     ]
 )
@@ -31,36 +32,44 @@ CODE_FACTS = T.StructType(
 
 
 def _facts(code: str | None) -> tuple:
-    """(error, star imports, used names, defined names) of one source text."""
+    """(error, star imports, used names, their first places, defined names) of one source text."""
     if code is None:
-        return None, [], [], []
+        return None, [], [], [], []
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
             tree = ast.parse(code)
     except SyntaxError as exc:
-        return f"Syntax error on line {exc.lineno}: {exc.msg}", [], [], []
+        return f"Syntax error on line {exc.lineno}: {exc.msg}", [], [], [], []
     except (ValueError, RecursionError, MemoryError) as exc:
-        return f"Syntax error on line 0: {type(exc).__name__}", [], [], []
-    lines, stars, used, defined = code.split("\n"), [], set(), set()
+        return f"Syntax error on line 0: {type(exc).__name__}", [], [], [], []
+    lines, stars, used, defined = code.split("\n"), [], {}, set()
+
+    def place(line: int, at: int) -> dict:
+        return {"line": line, "column": len(lines[line - 1].encode()[:at].decode(errors="ignore"))}
+
     for node in ast.walk(tree):
         if isinstance(node, ast.Name):
-            (used if isinstance(node.ctx, ast.Load) else defined).add(node.id)
+            if isinstance(node.ctx, ast.Load):
+                at = (node.lineno, node.col_offset)
+                used[node.id] = min(at, used.get(node.id, at))
+            else:
+                defined.add(node.id)
         elif isinstance(node, ast.arg):
             defined.add(node.arg)
         elif isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
             defined.add(node.name)
         elif isinstance(node, ast.alias):
             if node.name == "*":
-                text = lines[node.lineno - 1].encode()[: node.col_offset].decode()
-                stars.append({"line": node.lineno, "column": len(text)})
+                stars.append(place(node.lineno, node.col_offset))
             else:
                 defined.add(node.asname or node.name.split(".")[0])
         elif isinstance(node, (ast.ExceptHandler, ast.MatchAs, ast.MatchStar)):
             defined.add(node.name)
         elif isinstance(node, ast.MatchMapping):
             defined.add(node.rest)
-    return None, stars, sorted(used), sorted(defined - {None})
+    names = sorted(used)
+    return None, stars, names, [place(*used[n]) for n in names], sorted(defined - {None})
 
 
 def with_code_facts(df: DataFrame, col: str, out: str = "_facts") -> DataFrame:
@@ -75,7 +84,7 @@ def with_code_facts(df: DataFrame, col: str, out: str = "_facts") -> DataFrame:
         texts = pa.list_(pa.string())
         place = pa.struct([("line", pa.int32()), ("column", pa.int32())])
         kind = pa.struct(
-            [("error", pa.string()), ("stars", pa.list_(place)), ("used", texts), ("defined", texts)]
+            [("error", pa.string()), ("stars", pa.list_(place)), ("used", texts), ("used_at", pa.list_(place)), ("defined", texts)]
         )
         names = [f.name for f in kind]
         for batch in batches:
@@ -155,41 +164,69 @@ def undefined_names(used: Column, defined: Column, known: Column) -> Column:
     return F.array_sort(left)
 
 
+def rule_hits(col: Column, codes: list[str]) -> Column:
+    """Violations of registered line rules in one text, by line: array of line, column, code, message."""
+
+    def hits(line: Column, at: Column) -> Column:
+        found = []
+        for code in codes:
+            message, pred, column_at = _RULES[code]
+            hit = _violation(at + 1, column_at(line), F.lit(code), F.lit(message))
+            found.append(F.when(pred(line), hit))
+        return F.array_compact(F.array(*found))
+
+    return F.flatten(F.transform(F.split(col, "\n"), hits))
+
+
+def _violation(line: Column, column: Column, code: Column, message: Column) -> Column:
+    return F.struct(
+        line.cast("int").alias("line"),
+        column.cast("int").alias("column"),
+        code.alias("code"),
+        message.alias("message"),
+    )
+
+
+def _violations(col: Column, codes: list[str] | None) -> Column:
+    """Star imports of a parsed text, then what the registered rules `codes` find; empty if it does not parse."""
+    found = F.transform(
+        "_facts.stars",
+        lambda s: _violation(s["line"], s["column"], F.lit(STAR_CODE), F.lit(STAR_MESSAGE)),
+    )
+    own = [c for c in codes or [] if c != STAR_CODE]  # the star rule works on parsed text here
+    if not own:
+        return found
+    return F.when(
+        F.col("_facts.error").isNull() & col.isNotNull(), F.concat(found, rule_hits(col, own))
+    ).otherwise(found)
+
+
 def lint(
-    df: DataFrame, col: str, known: Column | None = None, check_names: bool = False
+    df: DataFrame,
+    col: str,
+    known: Column | None = None,
+    check_names: bool = False,
+    codes: list[str] | None = None,
 ) -> DataFrame:
     """Add `violations` per row; text that does not parse has none.
 
-    Name checks know the given names plus the template variables of the text.
+    Star imports come first, then the registered rules `codes`, then undefined names at their
+    first use. Name checks know the given names plus the template variables of the text.
     """
     facts = with_code_facts(df, col)
-    stars = F.transform(
-        "_facts.stars",
-        lambda s: F.struct(
-            s["line"].alias("line"),
-            s["column"].alias("column"),
-            F.lit(STAR_CODE).alias("code"),
-            F.lit(STAR_MESSAGE).alias("message"),
-        ),
-    )
-    found = stars
+    found = _violations(F.col(col), codes)
     if check_names:
         none = F.array().cast("array<string>")
         own = F.coalesce(template_vars(F.col(col)), none)
         names = F.array_union(own, none if known is None else known)
         missing = undefined_names(F.col("_facts.used"), F.col("_facts.defined"), names)
-        found = F.concat(
-            stars,
-            F.transform(
-                missing,
-                lambda n: F.struct(
-                    F.lit(0).alias("line"),
-                    F.lit(0).alias("column"),
-                    F.lit("W201").alias("code"),
-                    F.concat(F.lit("undefined name '"), n, F.lit("'")).alias("message"),
-                ),
-            ),
-        )
+
+        def unknown(n: Column) -> Column:
+            at = F.get("_facts.used_at", (F.array_position("_facts.used", n) - 1).cast("int"))
+            message = F.concat(F.lit("undefined name '"), n, F.lit("'"))
+            return _violation(at["line"], at["column"], F.lit("W201"), message)
+
+        found = F.concat(found, F.transform(missing, unknown))
     return facts.withColumn("violations", found).drop("_facts")
 
 
@@ -227,27 +264,35 @@ def lines_any(col: Column, token: str) -> Column:
 
 
 def validate(
-    df: DataFrame, col: str, validators: list[str | Column], parse: bool = False
+    df: DataFrame,
+    col: str,
+    validators: list[str | Column],
+    parse: bool = False,
+    codes: list[str] | None = None,
 ) -> DataFrame:
-    """Add `valid` and `error`; the first failing validator wins.
+    """Add `valid`, `errors` and `error`, the first of them; the first failing validator wins.
 
-    Native rules come first; with `parse`, only texts they accept reach the parser,
-    then parsed text is checked for star imports.
+    Native rules come first; with `parse`, only texts they accept reach the parser, and
+    parsed text is linted: every star import and every hit of the registered rules `codes`
+    is an error of its own.
     """
     rules = [_VALIDATORS[v](F.col(col)) if isinstance(v, str) else v for v in validators]
-    checked = df.withColumn("error", F.coalesce(F.lit(None).cast("string"), *rules))
+    first = F.coalesce(F.lit(None).cast("string"), *rules)
+    checked = df.withColumn("errors", F.array_compact(F.array(first)))
     if parse:
-        text = F.when(F.col("error").isNull(), F.col(col))
+        text = F.when(F.size("errors") == 0, F.col(col))
         checked = with_code_facts(checked.withColumn("_text", text), "_text")
-        star = F.get("_facts.stars", F.lit(0))
-        star_error = F.format_string(
-            f"Linter ({STAR_CODE} at L%d:%d): {STAR_MESSAGE}", star["line"], star["column"]
+        linted = F.transform(
+            _violations(F.col("_text"), codes),
+            lambda v: F.format_string(
+                "Linter (%s at L%d:%d): %s", v["code"], v["line"], v["column"], v["message"]
+            ),
         )
+        parsed = F.when(F.col("_facts.error").isNotNull(), F.array("_facts.error")).otherwise(linted)
         checked = checked.withColumn(
-            "error",
-            F.coalesce("error", "_facts.error", F.when(F.size("_facts.stars") > 0, star_error)),
+            "errors", F.when(F.size("errors") > 0, F.col("errors")).otherwise(parsed)
         ).drop("_facts", "_text")
-    return checked.withColumn("valid", F.col("error").isNull())
+    return checked.withColumns({"error": F.get("errors", F.lit(0)), "valid": F.size("errors") == 0})
 
 
 # --------------------------------------------------------------------- reports

@@ -144,14 +144,38 @@ def t_test_ind(spark, sf_dir):
     return row.select("n_a", "n_b", "df", F.round("t", 6).alias("t"))
 
 
-@query("significance_flag")
+# Upper tails by Simpson's rule: from the statistic up to where the density has vanished.
+_TAIL = """
+(SELECT sum(f * CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * 40 / 20000 / 3
+ FROM (SELECT i, {density} AS f FROM (SELECT i, {at} + i * 40 / 20000.0 AS x FROM generate_series(0, 20000) AS g(i))))"""
+_P_U = _TAIL.format(at="z", density="exp(-x * x / 2) / sqrt(2 * pi())")
+_P_T = _TAIL.format(
+    at="t",
+    density="exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0)) / sqrt(df * pi()) * (1 + x * x / df) ** (-(df + 1) / 2.0)",
+)
+
+
+@query(
+    "significance_flag",
+    f"""
+    WITH u AS (SELECT z FROM ({_U.replace("round((u", "((u").replace(", 6) AS z", ") AS z")})),
+    s AS (SELECT count(*) FILTER (WHERE event_type = 'click') AS na, count(*) FILTER (WHERE event_type = 'view') AS nb,
+      avg(value) FILTER (WHERE event_type = 'click') AS ma, avg(value) FILTER (WHERE event_type = 'view') AS mb,
+      var_samp(value) FILTER (WHERE event_type = 'click') AS va, var_samp(value) FILTER (WHERE event_type = 'view') AS vb
+      FROM events),
+    t AS (SELECT na + nb - 2 AS df,
+      (ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1.0 / na + 1.0 / nb)) AS t FROM s),
+    p AS (SELECT 'u' AS test, {_P_U} AS p FROM u UNION ALL SELECT 't', {_P_T} FROM t)
+    SELECT test, round(p, 6) AS p_value, p < {e.ALPHA} AS reject FROM p""",
+)
 def significance_flag(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "value")
     both = [
         fn(events, "event_type", "value", "click", "view").select(F.lit(name).alias("test"), "p_value")
         for name, fn in (("u", e.mann_whitney), ("t", e.t_test_ind))
     ]
-    return e.significance_flag(both[0].unionAll(both[1]))
+    flagged = e.significance_flag(both[0].unionAll(both[1]))
+    return flagged.withColumn("p_value", F.round("p_value", 6))
 
 
 @query(
@@ -336,11 +360,35 @@ def linear_fit_predict(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.round("predicted", 4).alias("predicted"))
 
 
-@query("linear_fit_many")
+# Least squares with three features by Cramer's rule on the centred normal equations.
+_CROSS = ", ".join(
+    f"covar_pop({x}, {y}) AS {n}"
+    for n, x, y in (
+        ("qq", "q", "q"), ("dd", "d", "d"), ("xx", "x", "x"), ("qd", "q", "d"), ("qx", "q", "x"), ("dx", "d", "x"),
+        ("qy", "q", "y"), ("dy", "d", "y"), ("xy", "x", "y"),
+    )
+)
+
+
+@query(
+    "linear_fit_many",
+    f"""
+    WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_discount AS d, l_tax AS x, l_extendedprice AS y
+      FROM lineitem),
+    m AS (SELECT avg(q) AS mq, avg(d) AS md, avg(x) AS mx, avg(y) AS my, {_CROSS} FROM r),
+    b AS (SELECT mq, md, mx, my,
+      (qy * (dd * xx - dx * dx) - qd * (dy * xx - dx * xy) + qx * (dy * dx - dd * xy)) / det AS bq,
+      (qq * (dy * xx - dx * xy) - qy * (qd * xx - dx * qx) + qx * (qd * xy - dy * qx)) / det AS bd,
+      (qq * (dd * xy - dy * dx) - qd * (qd * xy - dy * qx) + qy * (qd * dx - dd * qx)) / det AS bx
+      FROM (SELECT *, qq * (dd * xx - dx * dx) - qd * (qd * xx - dx * qx) + qx * (qd * dx - dd * qx) AS det FROM m))
+    SELECT l_orderkey, l_linenumber, round(my + bq * (q - mq) + bd * (d - md) + bx * (x - mx), 3) AS predicted
+    FROM r, b""",
+)
 def linear_fit_many(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     model = f.fit_linear(items, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
-    return f.predict_linear(items, model).select("l_orderkey", "l_linenumber", "predicted")
+    predicted = f.predict_linear(items, model).withColumn("predicted", F.round("predicted", 3))
+    return predicted.select("l_orderkey", "l_linenumber", "predicted")
 
 
 @query("logistic_fit_predict")

@@ -89,20 +89,52 @@ def template_variables(spark, sf_dir):
     )
 
 
+def _price_rule():
+    """A user rule on code lines: prices that end in 0."""
+    q.register_rule("U002", "round price", lambda x: x.rlike("^price = .*0$"), lambda x: F.length(x) - 1)
+    return ["U002"]
+
+
 @query(
     "lint_known",
     f"""
     SELECT pattern_id, 1::BIGINT AS line, 17::BIGINT AS "column", '{q.STAR_CODE}' AS code
-    FROM ({PART_SQL}) WHERE NOT unrendered AND NOT broken AND starred""",
+    FROM ({PART_SQL}) WHERE NOT unrendered AND NOT broken AND starred
+    UNION ALL
+    SELECT pattern_id, 3, len(setup) - 1, 'U002' FROM ({PART_SQL})
+    WHERE NOT unrendered AND NOT broken AND ends_with(setup, '0')
+    UNION ALL
+    SELECT pattern_id, 7, 6, 'W201' FROM ({PART_SQL}) WHERE NOT unrendered AND NOT broken""",
 )
 def lint_known(spark, sf_dir):
-    linted = q.lint(_part_code(spark, sf_dir), "code", F.array(F.lit("price")), check_names=True)
+    whole = F.regexp_replace("code", r"\n+$", "")
+    code = _part_code(spark, sf_dir).withColumn("code", F.concat(whole, F.lit("\nprint(lost, given)")))
+    linted = q.lint(code, "code", F.array(F.lit("given")), check_names=True, codes=_price_rule())
     return linted.select("pattern_id", F.explode("violations").alias("v")).select(
         "pattern_id", F.col("v.line").cast("long").alias("line"),
         F.col("v.column").cast("long").alias("column"), "v.code",
     )
 
 
+@query(
+    "validator_chain_code",
+    f"""
+    SELECT pattern_id, CASE WHEN brand LIKE '%5' THEN 'brand' WHEN broken THEN 'Syntax error on line 5: invalid syntax'
+      ELSE concat_ws('|', CASE WHEN starred THEN 'Linter ({q.STAR_CODE} at L1:17): {q.STAR_MESSAGE}' END,
+        CASE WHEN ends_with(setup, '0') THEN 'Linter (U002 at L3:' || (len(setup) - 1) || '): round price' END)
+      END AS errors
+    FROM ({PART_SQL}) WHERE NOT unrendered""",
+)
+def validator_chain_code(spark, sf_dir):
+    """All errors of each text: a native rule, the parser, star imports and a user rule."""
+    key = F.concat(F.lit("part."), F.col("p_partkey").cast("string")).alias("pattern_id")
+    brands = table(spark, sf_dir, "part").select(key, "p_brand")
+    rows = _part_code(spark, sf_dir).join(brands, "pattern_id")
+    rules = [F.when(F.endswith("p_brand", F.lit("5")), "brand")]
+    checked = q.validate(rows, "code", rules, parse=True, codes=_price_rule())
+    return checked.select("pattern_id", F.array_join("errors", "|").alias("errors"))
+
+
 @query(
     "validator_chain",
     """

@@ -64,6 +64,27 @@ def test_registered_rule_and_validator(spark):
     assert {r["id"]: r["valid"] for r in q.validate(df, "text", ["no_todo"]).collect()} == {1: True, 2: False}
 
 
+def test_every_violation_is_an_error(spark):
+    q.register_rule("T2", "tab", lambda x: F.contains(x, F.lit("\t")), lambda x: F.instr(x, F.lit("\t")) - 1)
+    star = "from os import *"
+    data = [(1, f"{star}\nif a:\n\t{star}\nb = é + c"), (2, "x = (\t"), (3, None), (4, "short")]
+    df = spark.createDataFrame(data, "id long, code string")
+    rules = [F.when(F.col("code") == "short", "too short")]
+    got = {r["id"]: r for r in q.validate(df, "code", rules, parse=True, codes=["T2"]).collect()}
+    assert got[1]["errors"] == [
+        f"Linter ({q.STAR_CODE} at L1:15): {q.STAR_MESSAGE}",
+        f"Linter ({q.STAR_CODE} at L3:16): {q.STAR_MESSAGE}",
+        "Linter (T2 at L3:0): tab",
+    ]
+    assert got[1]["error"] == got[1]["errors"][0] and not got[1]["valid"]
+    assert len(got[2]["errors"]) == 1 and got[2]["error"].startswith("Syntax error")
+    assert got[3]["errors"] == [] and got[3]["valid"] and got[4]["errors"] == ["too short"]
+    found = {r["id"]: r["violations"] for r in q.lint(df, "code", check_names=True, codes=["T2"]).collect()}
+    names = [(v["line"], v["column"], v["message"]) for v in found[1] if v["code"] == "W201"]
+    assert names == [(2, 3, "undefined name 'a'"), (4, 8, "undefined name 'c'"), (4, 4, "undefined name 'é'")]
+    assert found[2] == [] and found[3] == []
+
+
 def test_content_rules(spark):
     df = spark.createDataFrame([("# pins\na==1\n\nb==2",), ("a==1\nb>=2",), ("# only",)], "t string")
     rows = df.select(q.lines_all(F.col("t"), "==").alias("all"), q.lines_any(F.col("t"), ">=").alias("any")).collect()
