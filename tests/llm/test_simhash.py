@@ -111,6 +111,26 @@ def test_near_copies_go_and_others_stay(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [ids[0] for ids in groups.values()]
 
 
+def test_links_against_exact_similarity(spark):
+    """Pairs around 0.8: exactly those at 0.8 or more link, if enough segments find them."""
+    rnd = random.Random(12)
+    docs, shingles = [], {}
+    for g in range(60):
+        base = [f"w{rnd.randrange(9000)}" for _ in range(rnd.choice([80, 150]))]
+        for c in range(2):
+            words = list(base)
+            for _ in range(c * rnd.randint(1, 5)):
+                words[rnd.randrange(len(words))] = f"other{rnd.randrange(9000)}"
+            i = len(docs)
+            docs.append((i, " ".join(words)))
+            shingles[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    alike = lambda a, b: len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b])
+    want = {i: i - 1 if i % 2 and alike(i - 1, i) >= 0.8 else i for i in shingles}
+    assert 10 < sum(i != w for i, w in want.items()) < 50
+    got = {r["doc_id"]: r["component_id"] for r in s.near_classes(table(spark, docs), tables=60, key_bits=12).collect()}
+    assert got == want
+
+
 def test_nulls_repeats_and_empty(spark):
     docs = table(spark, [(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (None, "lonely words here now"), (7, None)])
     got = sorted((tuple(r) for r in s.duplicate_classes(docs).select("doc_id", "component_id").collect()), key=repr)
