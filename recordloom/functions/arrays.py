@@ -68,6 +68,12 @@ def element_dropout(col: Column, eps: float, seed: int, row_id: Column) -> Colum
     )
 
 
-def focal_loss(logits: Column, target: Column, alpha: float, gamma: float) -> Column:
+def focal_loss(
+    logits: Column, target: Column, alpha: float, gamma: float, reduction: str = "none"
+) -> Column:
+    """Loss per row, or the mean or sum of a group as an aggregate."""
+    if reduction not in ("none", "mean", "sum"):
+        raise ValueError("reduction must be none, mean or sum")
     ce = log_sum_exp(logits) - F.get(logits, target)
-    return F.lit(alpha) * F.pow(1 - F.exp(-ce), F.lit(gamma)) * ce
+    loss = F.lit(alpha) * F.pow(1 - F.exp(-ce), F.lit(gamma)) * ce
+    return {"none": loss, "mean": F.avg(loss), "sum": F.sum(loss)}[reduction]

@@ -97,15 +97,32 @@ def render_samples(df: DataFrame) -> DataFrame:
 
 
 def render_defaults(catalog: DataFrame) -> DataFrame:
-    """Code with default values only; text that cannot render stays as it is."""
+    """Code and `tests` with default values only; text that cannot render stays as it is."""
     ready = assemble(catalog, "raw_code")
+    raw = F.coalesce("validation.tests", F.array().cast("array<string>"))
     bound = pin(
-        ready, {"_c": compiled(F.col("raw_code")), "_ctx": default_context(F.col("parameters"))}
-    )
+        ready,
+        {
+            "_raw": raw,
+            "_c": compiled(F.col("raw_code")),
+            "_t": compiled_list(raw),
+            "_ctx": default_context(F.col("parameters")),
+        },
+    ).withColumn("_lists", F.transform("_t", lambda t: t["segments"]))
     shown = F.when(F.col("_c.error").isNull(), render_segments("_c.segments", "_ctx"))
-    return pin(
-        bound, {"code": F.coalesce(shown, "raw_code"), "render_error": F.col("_c.error")}
-    ).drop("_c", "_ctx")
+    rendered = pin(
+        bound,
+        {
+            "code": F.coalesce(shown, "raw_code"),
+            "render_error": F.col("_c.error"),
+            "_tests": render_segment_lists("_lists", "_ctx"),
+        },
+    )
+    tests = F.transform(
+        "_raw",
+        lambda x, i: F.when(F.get("_t", i)["error"].isNull(), F.get("_tests", i)).otherwise(x),
+    )
+    return rendered.withColumn("tests", tests).drop("_raw", "_c", "_t", "_lists", "_tests", "_ctx")
 
 
 # ---------------------------------------------------------------- removing copies

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import template_vars
+from ..scale import materialize
 
 STAR_CODE = "W101"
 STAR_MESSAGE = "Star import hides where names come from."
@@ -382,6 +383,7 @@ def lint_report(violations: DataFrame, key: str) -> DataFrame:
 
 def lint_summary(checked: DataFrame, report: DataFrame, key: str) -> DataFrame:
     """Failures sorted by key, each with the number of rows that passed."""
+    report = materialize(report, "lint-report")  # the texts are linted once
     failed = report.count()
     passed = checked.select(key).distinct().count() - failed
     return report.withColumn("n_passed", F.lit(passed).cast("long")).orderBy(key)

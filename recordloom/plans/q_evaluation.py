@@ -493,10 +493,9 @@ _FOCAL = f"""
     FROM {_FOCAL} GROUP BY label""",
 )
 def focal_loss(spark, sf_dir):
-    loss = a.focal_loss(F.col("v"), F.col("label"), 0.25, 2.0)
-    rows = _vectors(spark, sf_dir).select(F.col("label").cast("long").alias("label"), loss.alias("loss"))
-    return rows.groupBy("label").agg(
-        F.round(F.avg("loss"), 6).alias("mean_loss"),
-        F.round(F.sum("loss"), 4).alias("sum_loss"),
+    loss = lambda how: a.focal_loss(F.col("v"), F.col("label"), 0.25, 2.0, how)
+    return _vectors(spark, sf_dir).groupBy(F.col("label").cast("long").alias("label")).agg(
+        F.round(loss("mean"), 6).alias("mean_loss"),
+        F.round(loss("sum"), 4).alias("sum_loss"),
         F.count(F.lit(1)).alias("n"),
     )

@@ -166,11 +166,13 @@ def render_catalog(spark, sf_dir):
     SELECT pattern_id,
       CASE WHEN unrendered THEN imports || chr(10) || chr(10) || setup || chr(10) || chr(10)
           || '{{{{ style | nosuch }}}}'
-        ELSE {sql_code('words[1]', 'size0', 'flag')} || CASE WHEN broken THEN '' ELSE chr(10) END END AS code
+        ELSE {sql_code('words[1]', 'size0', 'flag')} || CASE WHEN broken THEN '' ELSE chr(10) END END AS code,
+      'assert f_' || words[1] || '(1) is not None' AS tests
     FROM ({PART_SQL})""",
 )
 def render_defaults(spark, sf_dir):
-    return g.render_defaults(part_catalog(spark, sf_dir)).select("pattern_id", "code")
+    rows = g.render_defaults(part_catalog(spark, sf_dir))
+    return rows.select("pattern_id", "code", F.array_join("tests", "|").alias("tests"))
 
 
 @query(

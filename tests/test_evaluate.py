@@ -191,6 +191,11 @@ def test_vectors(spark):
     ce = math.log(1 + math.exp(-1))
     want = 0.25 * (1 - math.exp(-ce)) ** 2 * ce
     assert df.select(a.focal_loss(F.col("v"), F.col("t"), 0.25, 2.0)).first()[0] == pytest.approx(want)
+    each = [r[0] for r in df.select(a.focal_loss(F.col("v"), F.col("t"), 0.25, 2.0)).collect()]
+    both = df.select(*[a.focal_loss(F.col("v"), F.col("t"), 0.25, 2.0, how) for how in ("mean", "sum")]).first()
+    assert tuple(both) == pytest.approx((sum(each) / 2, sum(each)))
+    with pytest.raises(ValueError):
+        a.focal_loss(F.col("v"), F.col("t"), 0.25, 2.0, "median")
     assert df.select(a.channel_normalize(F.col("v"), [1.0], [2.0])).first()[0] == [1.0, 1.5]
 
 

@@ -102,6 +102,16 @@ def test_rendered_text(catalog):
     assert broken["code"] is None and "unknown_filter" in broken["render_error"]
 
 
+def test_tests_are_rendered_with_defaults(catalog):
+    tests = F.array(F.lit("assert 1"), F.lit("{{ n | nosuch }}"))
+    own = F.struct(F.lit(True).alias("linter_checks"), tests.alias("tests"))
+    none = F.struct(F.lit(True).alias("linter_checks"), F.lit(None).cast("array<string>").alias("tests"))
+    shown = g.render_defaults(catalog.withColumn("validation", own)).select("tests").collect()
+    assert shown and all(r["tests"] == ["assert 1", "{{ n | nosuch }}"] for r in shown)
+    bare = g.render_defaults(catalog.withColumn("validation", none)).select("tests").collect()
+    assert all(r["tests"] == [] for r in bare)
+
+
 def test_render_defaults(catalog):
     code = {r["pattern_id"]: r["code"] for r in g.render_defaults(catalog).collect()}
     assert code["tables.broken"] == "x = {{ value | unknown_filter }}"
