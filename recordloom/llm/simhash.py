@@ -58,8 +58,14 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def fingerprints(docs: DataFrame, words: int, lanes: int = 1, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, fp array<long>), one row per input row; null text has no words."""
+def fingerprints(
+    docs: DataFrame, words: int, lanes: int = 1, doc: str = "doc_id", text: str = "text", once: bool = False
+) -> DataFrame:
+    """(doc_id, n_words, fp array<long>), one row per input row; null text has no words.
+
+    With `once` every distinct shingle votes once, else as often as it occurs.
+    """
+    seen = np.unique if once else np.asarray
 
     def scan(batches):
         for batch in slices(batches):
@@ -67,7 +73,7 @@ def fingerprints(docs: DataFrame, words: int, lanes: int = 1, doc: str = "doc_id
             for t in utf8(batch.column(1)):
                 own = lower_blank_words(t)
                 counts.append(len(own))
-                fps.append(fingerprint(shingle_hashes(own, words), lanes))
+                fps.append(fingerprint(seen(shingle_hashes(own, words)), lanes))
             made = [pa.array(counts, pa.int64()), pa.array(fps, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_words", "fp"])
 
@@ -173,7 +179,8 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 LANES = 4  # 256 bits
-TABLES, KEY_BITS = 100, 24
+TABLES, KEY_BITS = 200, 24
+ORDERS = 4  # ways to choose the member of a bucket that the others are held against
 SIMILARITY = 0.8
 # Of 256 bits, fingerprints of sets with a Jaccard similarity of 0.8 are 39 apart on average,
 # with a deviation of 6: up to SURE_APART bits a pair is taken as it stands, up to MOST_APART
@@ -188,7 +195,7 @@ def _shingle_sets(wanted: DataFrame, docs: DataFrame, words: int, doc: str, text
         for batch in slices(batches):
             nodes, sets = [], []
             for node, fp, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
-                hashes = shingle_hashes(lower_blank_words(t), words)
+                hashes = np.unique(shingle_hashes(lower_blank_words(t), words))
                 if fingerprint(hashes, len(fp)).tolist() == fp:  # rows of one id may differ in text
                     nodes.append(node)
                     sets.append(np.unique(hashes.astype(np.uint32).view(np.int32)))
@@ -224,25 +231,32 @@ def near_classes(
 ) -> DataFrame:
     """(doc_id, component_id): classes of documents linked by a similarity of `similarity` or more.
 
-    Fingerprints of 256 bits over shingles of `words` words. At 0.8, balls of a useful radius
+    Fingerprints of 256 bits over the distinct shingles of `words` words. At 0.8, balls of a useful radius
     around long segments would be too large, so there are many short segments instead, each
-    `key_bits` seeded positions, with balls of radius 0: a pair at 0.8 meets in one of 100
-    segments with a chance of 0.86, at 0.85 of 0.97. Within a bucket all members are held against
-    its smallest node only, never against each other. A pair links at `sure_apart` or fewer
+    `key_bits` seeded positions, with balls of radius 0: a pair at 0.8 meets in one of 200
+    segments with a chance of 0.98, at 0.85 of 0.999. Within a bucket all members are held against
+    one of them only, never against each other; which one depends on the segment, in ORDERS
+    ways, so members of a large family meet different partners, but only a few. A pair links at `sure_apart` or fewer
     differing bits; one that differs in up to `most_apart` links if its sets of shingles
-    are similar enough. First each node is compared with its nearest partner, then all other
-    pairs that are not yet in one class. For corpora beyond some 2**key_bits / 50 documents
+    are similar enough. First each node is linked to or compared with its nearest partner, then
+    all other pairs that are not yet in one class. For corpora beyond some 2**key_bits / 50 documents
     raise `key_bits` (and `tables`). Nulls, repeats and empty tables as in `duplicate_classes`.
     """
-    rows = materialize(fingerprints(docs, words, LANES, doc, text).select("doc_id", "fp"), "fingerprints")
+    rows = materialize(fingerprints(docs, words, LANES, doc, text, once=True).select("doc_id", "fp"), "fingerprints")
     nodes = materialize(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("fp")), "nodes"
     )
     keyed = nodes.select("node", "fp").mapInArrow(
         _segment_rows(64 * LANES, tables, key_bits, SEED), "node long, key long"
     )
-    centres = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = keyed.join(centres, "key").filter("node <> centre").select("node", "centre").distinct()
+    # the node nearest to a drawn number, by xor: few numbers, so a large family has few centres
+    turn = F.xxhash64(F.pmod(F.shiftright("key", key_bits), F.lit(ORDERS)))
+    centres = keyed.groupBy("key").agg(
+        F.min(F.col("node").bitwiseXOR(turn)).alias("least"), F.count(F.lit(1)).alias("n")
+    )
+    centres = centres.filter("n > 1").select("key", F.col("least").bitwiseXOR(turn).alias("centre"))
+    pairs = keyed.join(centres, "key").filter("node <> centre")
+    pairs = pairs.select(F.greatest("node", "centre").alias("node"), F.least("node", "centre").alias("centre")).distinct()
     prints = nodes.select("node", "fp")
     near = materialize(
         pairs.join(prints, "node")
@@ -253,19 +267,21 @@ def near_classes(
     )
     ends = lambda links: links.select(F.col("node").alias("a"), F.col("centre").alias("b"))
     compared = lambda links: _similar(links, nodes, docs, words, similarity, doc, text)
-    unsure = near.groupBy("node").agg(F.min(F.struct("apart", "centre")).alias("best"))
-    unsure = unsure.select("node", "best.*").filter(F.col("apart") > sure_apart).select("node", "centre")
-    sure = near.filter(F.col("apart") <= sure_apart)
-    first = materialize(ends(sure).unionByName(ends(compared(unsure))), "first-links")
+    best = near.groupBy("node").agg(F.min(F.struct("apart", "centre")).alias("best")).select("node", "best.*")
+    linked = lambda some: ends(some.filter(F.col("apart") <= sure_apart)).unionByName(
+        ends(compared(some.filter(F.col("apart") > sure_apart).select("node", "centre")))
+    )
+    best = materialize(best, "nearest")
+    first = materialize(linked(best), "first-links")
     roots = materialize(components(first), "first-roots")
-    rest = near.filter(F.col("apart") > sure_apart).select("node", "centre").join(unsure, ["node", "centre"], "left_anti")
+    rest = near.join(best.select("node", "centre"), ["node", "centre"], "left_anti")
     rest = rest.join(roots.withColumnRenamed("root", "r"), "node", "left").join(
         roots.select(F.col("node").alias("centre"), F.col("root").alias("s")), "centre", "left"
     )
-    rest = rest.filter(F.coalesce("r", "node") != F.coalesce("s", "centre")).select("node", "centre")
+    rest = rest.filter(F.coalesce("r", "node") != F.coalesce("s", "centre")).select("node", "centre", "apart")
     rest = materialize(rest, "rest")
     # classes are enough as ends of the links found now
-    later = ends(compared(rest)).unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    later = linked(rest).unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = components(later)
     placed = nodes.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
