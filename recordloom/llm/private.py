@@ -3,7 +3,9 @@
 Patterns find the protected entities. The corpus then tells how strongly a term near an
 entity reveals it: the share of the entity's information content that the term gives
 away, PMI(entity; term) / IC(entity), is 1 when the term occurs with the entity only.
-Terms above a threshold are generalised, above a higher one removed.
+Terms above a threshold are generalised, above a higher one removed. Copies of a text are no
+further evidence: the information content goes by distinct texts, and the share of a term's
+documents that hold the pair is discounted by the number of its distinct texts.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from .words import letter_words, slices, utf8
 
 KINDS = ["email", "ip", "card", "phone"]  # `term` follows them
 GENERALISE_AT, REMOVE_AT = 0.8, 0.95
-MIN_TEXTS = 3  # different texts in which a term stands near an entity
+# Fixed value: the part of one text that absolute discounting takes off the texts of a pair, so
+# that a term in a single text counts a quarter; a chance neighbour in few texts weighs less.
+DISCOUNT = 0.75
 NEAR_WORDS, NEAR_CHARS = 8, 120
 TERMS_HELD = 200_000  # terms a task counts before it passes them on
 
@@ -162,36 +166,41 @@ def find_private(
     text: str = "text",
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
-    min_texts: int = MIN_TEXTS,
+    discount: float = DISCOUNT,
 ) -> DataFrame:
     """(doc_id, text_hash, n_email, n_ip, n_card, n_phone, base_sha256, all_spans) per input row.
 
     `all_spans` has (start, rank, kind, end, action): base spans are removed, terms (kind `term`)
     generalised or removed. A term counts near an entity if it is one of the 8 words on either
-    side, within 120 characters; it must do so in `min_texts` different texts. Document counts
-    cover all whole documents. Null text is empty; rows that repeat are judged one by one and
-    count one by one, except that equal texts are one text for `min_texts`; a null id is
-    carried along; an empty table gives no rows.
+    side, within 120 characters. Of the documents with the term, those with the pair are the
+    share that the term gives away, less `discount` of a text in all texts of the pair; the
+    entity's information is its rarity among distinct texts. There is no least number of texts:
+    with the defaults a term that occurs in the only text of its entity is generalised from
+    1,024 distinct texts on. Document counts cover all whole documents. Null text is empty; rows
+    that repeat are judged one by one and count one by one, except that equal texts are one
+    text; a null id is carried along; an empty table gives no rows.
     """
     own = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(own.mapInArrow(_find, _FOUND), "private")
     near = rows.select("doc_id", "text_hash", F.inline("near"))
-    total = rows.count()
+    total = rows.select("text_hash").distinct().count()
     # documents per entity and pair, first summed per text, so that copies combine early
     once = rows.select(
         "text_hash", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x")
     ).select("text_hash", "x.*")
     per_text = once.groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     pairs = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
-    pairs = materialize(pairs.filter(F.col("texts") >= min_texts), "pairs")
+    pairs = materialize(pairs, "pairs")
     entities = (
-        rows.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
+        rows.select("text_hash", F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
+        .distinct()
         .groupBy("entity")
         .agg(F.count(F.lit(1)).alias("n_entity"))
     )
     terms = own.select("text").mapInArrow(_count_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     information = F.log(F.lit(float(total or 1)) / F.col("n_entity"))
-    disclosed = (information - F.log(F.col("n_term") / F.col("n_pair"))) / information
+    share = F.col("n_pair") / F.col("n_term") * (1 - F.lit(float(discount)) / F.col("texts"))
+    disclosed = (information + F.log(share)) / information
     risky = (
         pairs.join(entities, "entity")
         .join(terms, "term")

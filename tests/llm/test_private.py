@@ -88,3 +88,17 @@ def test_nulls_repeats_and_empty(spark):
     docs = spark.createDataFrame([(None, "a@b.c", "", "")] * 2 + [(1, None, "", "")], DOCS)
     assert sorted(r["spans"] for r in p.private_spans(docs).collect()) == ["", "email:0:5", "email:0:5"]
     assert p.private_spans(docs.limit(0)).collect() == []
+
+
+def test_an_entity_in_one_text_has_terms_that_reveal_it(spark):
+    rnd = random.Random(8)
+    filler = lambda n: " ".join(f"word{rnd.randrange(60):c<3}" for _ in range(n))
+    once = f"{filler(9)} Glassblower {filler(2)} kim@ex.org {filler(9)}"
+    copied = f"{filler(9)} Falconer {filler(2)} lee@ex.org {filler(9)}"
+    common = f"{filler(9)} Farmer {filler(2)} pat@ex.org {filler(9)}"
+    texts = [once, common, *[copied] * 30, *[f"{filler(9)} farmer" for _ in range(20)]] + [filler(9) for _ in range(1400)]
+    got = run(spark, texts)
+    terms = lambda i: [texts[i][int(a) : int(b)] for k, a, b in (x.split(":") for x in got[i]["spans"].split(",")) if k == "term"]
+    assert terms(0) == ["Glassblower"] and terms(1) == []
+    assert all(terms(i) == ["Falconer"] for i in range(2, 32))
+    assert not any("term" in r["spans"] for r in got[32:])
