@@ -1,7 +1,7 @@
 """Conversations as training windows of a token budget.
 
 Prefix sums of turn tokens cut a conversation into turn-aligned spans, whatever its
-length. Every window repeats the leading system turn and a limited history; the loss
+length. Every window repeats the leading system turn and the turns before it that fit; the loss
 mask covers assistant texts in the window that first shows them only.
 """
 
@@ -67,13 +67,25 @@ _WINDOW = (
 _LOSS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _assemble(batches):
+def _fitting(turns: list[dict], budget: int) -> list[dict]:
+    """The turns of a window without its oldest history, as much as is over the budget."""
+    over = sum(t["tokens"] for t in turns) - budget
+    kept = []
+    for t in turns:
+        if over > 0 and t["history"]:
+            over -= t["tokens"]
+        else:
+            kept.append(t)
+    return kept
+
+
+def _assemble(batches, budget: int):
     kinds = [pa.int64(), pa.int64(), pa.string(), _LOSS, pa.int64(), pa.int64()]
     names = ["conv_id", "window", "text", "loss", "n_repeated", "n_tokens"]
     for batch in slices(batches):
         out = []
         for conv, window, turns in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            parts, loss, at = [], [], 0
+            turns, parts, loss, at = _fitting(turns, budget), [], [], 0
             for t in turns:
                 head = f"{TURN}{t['role']}{TEXT}"
                 if t["fresh"] and t["answer"]:
@@ -88,8 +100,9 @@ def _assemble(batches):
 def chat_windows(turns: DataFrame, tokens, budget: int = BUDGET) -> DataFrame:
     """(conv_id, window, text, loss, n_repeated, n_tokens) from (conv_id, turn, role, text).
 
-    Windows follow each other in steps of half the budget of fresh tokens. History is up to a
-    sixteenth of the budget before a step, of turns that are themselves no longer. So a window
+    Windows follow each other in steps of half the budget of fresh tokens. History is every whole
+    turn that begins within a quarter of the budget before a step, and the last turn before the
+    window wherever it begins; the oldest ones go while the window is over the budget. So a window
     exceeds the budget only if a turn has more than a quarter of it, or the system turn more
     than an eighth: turns are never cut. `loss` holds code point ranges of `text`; `n_repeated`
     turns at the start (system, history) were shown before. Turns go by (turn, role, text),
@@ -97,7 +110,7 @@ def chat_windows(turns: DataFrame, tokens, budget: int = BUDGET) -> DataFrame:
     conv_id is a conversation; other columns are ignored; no rows give no windows. A
     conversation of any length is spread over tasks by its prefix sums.
     """
-    step, history = max(1, budget // 2), budget // 16
+    step, history = max(1, budget // 2), budget // 4
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -110,32 +123,34 @@ def chat_windows(turns: DataFrame, tokens, budget: int = BUDGET) -> DataFrame:
     one = F.lit(1).cast("long")
     placed = running(rows, ["conv_id"], order, {"pos": ("sum", one), "before": ("sum", F.col("tokens"))})
     placed = materialize(placed, "placed")
+    no = F.lit(False)
     lead = placed.filter("pos = 0 and system").select(
         F.col("conv_id").alias("lead_conv"),
-        F.struct("pos", F.lit(False).alias("fresh"), "role", "body", "answer", "tokens").alias("lead"),
+        F.struct("pos", no.alias("fresh"), "role", "body", "answer", "tokens", no.alias("history")).alias("lead"),
     )
     own = F.floor(F.col("before") / step)
     following = F.floor((F.col("before") + F.col("tokens")) / step)
-    kept = (following > own) & (F.col("before") >= following * step - history) & (F.col("tokens") <= history)
-    again = kept & ~((F.col("pos") == 0) & F.col("system"))
+    # the last turn before a window ends in its step; those before it end in the step before
+    later = F.when(following > own, following).when(F.col("before") >= (own + 1) * step - history, own + 1)
+    again = later.isNotNull() & ~((F.col("pos") == 0) & F.col("system"))
     places = F.filter(
         F.array(
             F.struct(own.alias("window"), F.lit(True).alias("fresh")),
-            F.when(again, F.struct(following.alias("window"), F.lit(False).alias("fresh"))),
+            F.when(again, F.struct(later.alias("window"), no.alias("fresh"))),
         ),
         lambda x: x.isNotNull(),
     )
-    turn = F.struct("pos", "fresh", "role", "body", "answer", "tokens")
+    turn = F.struct("pos", "fresh", "role", "body", "answer", "tokens", (~F.col("fresh")).alias("history"))
     spans = (
         placed.select("*", F.inline(places))
         .groupBy("conv_id", "window")
-        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))  # about step tokens and one turn
+        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))  # about step and history tokens and two turns
         .filter(F.exists("turns", lambda t: t["fresh"]))
     )
     joined = spans.join(lead, F.col("conv_id").eqNullSafe(F.col("lead_conv")), "left")
     has_lead = F.col("lead").isNull() | (F.col("turns")[0]["pos"] == 0)
     whole = F.when(has_lead, F.col("turns")).otherwise(F.concat(F.array("lead"), "turns"))
-    return joined.select("conv_id", "window", whole.alias("turns")).mapInArrow(_assemble, _WINDOW)
+    return joined.select("conv_id", "window", whole.alias("turns")).mapInArrow(lambda batches: _assemble(batches, budget), _WINDOW)
 
 
 def read_turns(text: str) -> list[tuple[str, str]]:

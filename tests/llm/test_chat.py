@@ -77,3 +77,15 @@ def test_public_vocabulary_and_empty(spark):
     assert one == 2
     empty = c.chat_windows(table(spark, [(1, 1, "user", "x")]).limit(0), tokens)
     assert empty.collect() == [] and c.read_back(empty).collect() == []
+
+
+def test_history_is_every_trailing_turn_that_fits(spark):
+    rows = [(1, 0, "system", "rules")] + [(1, t, "user", f"say {t}") for t in range(1, 120)]
+    long = [(2, 1, "user", "w " * 20)] + [(2, t, "user", "w " * 9) for t in range(2, 30)]
+    got = c.chat_windows(table(spark, rows + long), count_words, 64).orderBy("conv_id", "window").collect()
+    for n, w in enumerate(x for x in got if x["conv_id"] == 1):
+        turns = c.read_turns(w["text"])[1:]
+        assert n == 0 or w["n_repeated"] >= 1 + 2  # the system turn and at least two turns of history
+        assert [int(t.split()[1]) for _, t in turns] == list(range(int(turns[0][1].split()[1]), int(turns[-1][1].split()[1]) + 1))
+        assert w["n_tokens"] <= 64
+    assert all(w["n_repeated"] >= 1 and w["n_tokens"] <= 64 for w in got if w["conv_id"] == 2 and w["window"])
