@@ -7,6 +7,7 @@ stands in some template). Long matches in template order chain into covered span
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from itertools import repeat
 
 import numpy as np
@@ -151,22 +152,36 @@ class Scanner:
         return phrases, self.chain(matches)
 
     def chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """Matches that follow each other in the document and in a template, as one span each."""
-        open_: dict[int, list] = {}  # template -> [first, last, end in the template, covered]
-        spans = []
+        """Matches that follow each other in the document and in a template, as one span each.
+
+        Each match extends the chain that covers most with it, or starts its own. Of chains of a
+        template that overlap in the document the one that covers most is kept, then the shortest.
+        """
+        ended: dict[int, list] = {}  # template -> chains by last match: (covered, first, last, end in the template)
+        recent: dict[int, int] = {}  # template -> first chain that a match can still extend
         for start, n, v in matches:
+            last = start + n - 1
             for template, end in self.automaton.ends[v]:
                 if template >= len(self.templates):
                     continue
-                chain = open_.get(template)
-                if chain and start - chain[1] <= MAX_GAP and end > chain[2] and start + n - 1 > chain[1]:
-                    fresh = min(n, end - chain[2], start + n - 1 - chain[1])
-                    chain[1], chain[2], chain[3] = start + n - 1, end, chain[3] + fresh
-                elif not chain or start > chain[1]:
-                    if chain:
-                        spans.append((template, *chain[:2], chain[3]))
-                    open_[template] = [start, start + n - 1, end, n]
-        spans += [(template, *chain[:2], chain[3]) for template, chain in open_.items()]
+                chains, at = ended.setdefault(template, []), recent.get(template, 0)
+                # matches that start later also end later, so a chain out of reach stays so
+                while at < len(chains) and start - chains[at][2] > MAX_GAP:
+                    at += 1
+                recent[template] = at
+                best = (n, start)
+                for covered, first, before, upto in chains[at:]:
+                    if before < last and upto < end:
+                        best = max(best, (covered + min(n, end - upto, last - before), first))
+                chains.append((*best, last, end))
+        spans = []
+        for template, chains in ended.items():
+            kept: list[tuple[int, int]] = []
+            for covered, first, last, _ in sorted(chains, key=lambda c: (-c[0], c[2] - c[1], c[1])):
+                place = bisect_left(kept, (first, last))
+                if (place == 0 or kept[place - 1][1] < first) and (place == len(kept) or last < kept[place][0]):
+                    kept.insert(place, (first, last))
+                    spans.append((template, first, last, covered))
         return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
 

@@ -59,3 +59,13 @@ def test_empty_and_repeated(spark):
     rows = spark.createDataFrame([(None, "mit license", "")] * 2, DOCS)
     assert [r["n_base"] for r in li.scan_licenses(rows).collect()] == [1, 1]
     assert li.scan_licenses(rows.limit(0)).collect() == []
+
+
+def test_stray_template_words_before_a_notice_lose_nothing(spark):
+    notice = "This work is licensed under the GNU General Public License version 3"
+    texts = [f"GNU General Public License\n{notice}", f"public license version 3. {notice}", f"{notice} {notice}"]
+    title, stray, twice = run(spark, texts)
+    for got, first in ((title, 4), (stray, 4)):
+        assert got["score"] == 1.0 and "gpl-3" in got["labels"].split(",")
+        assert [(s["first"], s["last"], s["covered"]) for s in got["spans"] if s["label"] == "gpl-3"] == [(first, first + 11, 12)]
+    assert [(s["first"], s["covered"]) for s in twice["spans"] if s["label"] == "gpl-3"] == [(0, 12), (12, 12)]
