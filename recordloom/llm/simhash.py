@@ -152,23 +152,118 @@ def duplicate_classes(docs: DataFrame, words: int = 3, doc: str = "doc_id", text
     )
 
 
+def _finer_bits(tables: int, key_bits: int) -> int:
+    """Further positions that fit beside the table and the key into one long; a multiple of TURNS."""
+    return min(32, 63 - tables.bit_length() - key_bits) // TURNS * TURNS
+
+
 def _segment_rows(bits: int, tables: int, key_bits: int, seed: int):
-    """Segments of `key_bits` seeded positions each: (node, key) per fingerprint and table."""
+    """(node, class, key) per fingerprint and table: seeded positions, `key_bits` and then finer ones."""
     rng = np.random.default_rng(seed)
-    places = np.array([rng.choice(bits, key_bits, replace=False) for _ in range(tables)])
-    powers = (np.int64(1) << np.arange(key_bits, dtype=np.int64))
-    tops = np.arange(tables, dtype=np.int64) << key_bits
+    length = key_bits + _finer_bits(tables, key_bits)
+    places = np.array([rng.choice(bits, length, replace=False) for _ in range(tables)])
+    powers = (np.int64(1) << np.arange(length, dtype=np.int64))[::-1]
+    tops = np.arange(tables, dtype=np.int64) << length
 
     def scan(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fps = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("<i8")
+            fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype("<i8")
             ones = np.unpackbits(fps.view(np.uint8).reshape(batch.num_rows, -1), axis=1, bitorder="little")
-            nodes = batch.column(0).to_numpy(zero_copy_only=False)
             for t in range(tables):
                 keys = ones[:, places[t]] @ powers + tops[t]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(keys)], names=["node", "key"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys)], names=["node", "class", "key"])
+
+    return scan
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins."""
+    return np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=bool)
+
+
+def _bounded_parts(bucket: np.ndarray, finer: np.ndarray, bits: int, hold: int):
+    """(order, starts, sizes) of parts of at most `hold` rows: each bucket split bit by bit as far as needed.
+
+    Rows that agree in all finer bits are cut into parts that share a row.
+    """
+    order = np.lexsort((finer, bucket))
+    bucket, finer = bucket[order], finer[order]
+    new, open_ = _changes(bucket), np.ones(len(order), dtype=bool)
+    starts, sizes = [], []
+    for depth in range(bits + 1):
+        first = np.flatnonzero(new | _changes(finer >> (bits - depth)))
+        n = np.diff(np.append(first, len(order)))
+        done = open_[first] & (n <= hold)
+        starts.append(first[done])
+        sizes.append(n[done])
+        open_ &= np.repeat(n > hold, n)
+        if not open_.any():
+            break
+    for at, size in zip(first[n > hold].tolist(), n[n > hold].tolist()):
+        cut = np.arange(at, at + size - 1, hold - 1)
+        starts.append(cut)
+        sizes.append(np.minimum(hold, at + size - cut))
+    return order, np.concatenate(starts), np.concatenate(sizes)
+
+
+def _pairs_of_buckets(finer_bits: int, hold: int):
+    """(node, centre) of all rows of a bucket that are of different classes; buckets come one after the other.
+
+    A bucket of more than `hold` rows is split by the finer bits, in TURNS orders of them.
+    """
+    low, shift = (np.int64(1) << finer_bits) - 1, finer_bits // TURNS
+
+    def emit(nodes, classes, order, starts, sizes):
+        for size in range(2, hold + 1):
+            i, j = np.triu_indices(size, 1)
+            of_size = starts[sizes == size]
+            for at in range(0, len(of_size), _PARTS):
+                first = of_size[at : at + _PARTS, None]
+                a, b = order[(first + i).ravel()], order[(first + j).ravel()]
+                apart = classes[a] != classes[b]
+                a, b = nodes[a[apart]], nodes[b[apart]]
+                if len(a):
+                    made = [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))]
+                    yield pa.RecordBatch.from_arrays(made, names=["node", "centre"])
+
+    def pairs(held):
+        nodes, classes, keys = (np.concatenate(c) for c in zip(*held))
+        bucket = keys >> finer_bits
+        starts = np.flatnonzero(_changes(bucket))
+        sizes = np.diff(np.append(starts, len(keys)))
+        yield from emit(nodes, classes, np.arange(len(keys)), starts, sizes)
+        # buckets of one class need no pairs
+        mixed = np.maximum.reduceat(classes, starts) != np.minimum.reduceat(classes, starts)
+        crowded = np.repeat((sizes > hold) & mixed, sizes)
+        if not crowded.any():
+            return
+        nodes, classes, keys, bucket = nodes[crowded], classes[crowded], keys[crowded], bucket[crowded]
+        for turn in range(TURNS):
+            by, finer = turn * shift, keys & low
+            turned = ((finer << by) | (finer >> (finer_bits - by))) & low
+            yield from emit(nodes, classes, *_bounded_parts(bucket, turned, finer_bits, hold))
+
+    def scan(batches):
+        held, last = [], None  # the bucket that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nodes, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            classes = batch.column(1).fill_null(0).to_numpy()
+            classes = np.where(batch.column(1).is_null().to_numpy(zero_copy_only=False), nodes, classes)
+            bucket = keys >> finer_bits
+            end = int(np.searchsorted(bucket, bucket[-1]))
+            if end or bucket[0] != last:
+                done = [*held, (nodes[:end], classes[:end], keys[:end])]
+                if sum(len(c[0]) for c in done):
+                    yield from pairs(done)
+                held = []
+            held.append((nodes[end:], classes[end:], keys[end:]))
+            last = bucket[-1]
+        if held:
+            yield from pairs(held)
 
     return scan
 
@@ -180,12 +275,15 @@ def _distance(a: Column, b: Column) -> Column:
 
 LANES = 4  # 256 bits
 TABLES, KEY_BITS = 200, 24
-ORDERS = 4  # ways to choose the member of a bucket that the others are held against
+HOLD = 16  # members of a bucket, or part of one, that are all held against each other
+TURNS = 4  # orders of the finer bits that split a larger bucket
+FIRST = 5  # one in so many tables serves to find the plain copies first
+ORDERS = 4  # ways to choose the member of a bucket that the others are then held against
+_PARTS = 4096  # parts of a bucket whose pairs are passed on at a time
 SIMILARITY = 0.8
 # Of 256 bits, fingerprints of sets with a Jaccard similarity of 0.8 are 39 apart on average,
-# with a deviation of 6: up to SURE_APART bits a pair is taken as it stands, up to MOST_APART
-# its sets of shingles are compared.
-SURE_APART, MOST_APART = 20, 60
+# with a deviation of 6: up to MOST_APART bits the sets of shingles of a pair are compared.
+MOST_APART = 60
 
 
 def _shingle_sets(wanted: DataFrame, docs: DataFrame, words: int, doc: str, text: str) -> DataFrame:
@@ -224,7 +322,7 @@ def near_classes(
     tables: int = TABLES,
     key_bits: int = KEY_BITS,
     most_apart: int = MOST_APART,
-    sure_apart: int = SURE_APART,
+    hold: int = HOLD,
     similarity: float = SIMILARITY,
     doc: str = "doc_id",
     text: str = "text",
@@ -233,22 +331,37 @@ def near_classes(
 
     Fingerprints of 256 bits over the distinct shingles of `words` words. At 0.8, balls of a useful radius
     around long segments would be too large, so there are many short segments instead, each
-    `key_bits` seeded positions, with balls of radius 0: a pair at 0.8 meets in one of 200
-    segments with a chance of 0.98, at 0.85 of 0.999. Within a bucket all members are held against
-    one of them only, never against each other; which one depends on the segment, in ORDERS
-    ways, so members of a large family meet different partners, but only a few. A pair links at `sure_apart` or fewer
-    differing bits; one that differs in up to `most_apart` links if its sets of shingles
-    are similar enough. First each node is linked to or compared with its nearest partner, then
-    all other pairs that are not yet in one class. For corpora beyond some 2**key_bits / 50 documents
-    raise `key_bits` (and `tables`). Nulls, repeats and empty tables as in `duplicate_classes`.
+    `key_bits` seeded positions, with balls of radius 0: a pair that differs in 39 bits meets in one of
+    200 segments with a chance of 0.9996. All members of a bucket are held against each other. A bucket
+    of more than `hold` is first split by finer positions of its segment until its parts hold no more,
+    in TURNS orders of these positions, so keys grow with the corpus and with its families. A pair
+    that differs in up to `most_apart` bits links if its sets of shingles are similar enough.
+
+    Plain copies are found first: by a few tables, each member of a bucket against one of them, and
+    the nearest such partner of each node. Only pairs of different classes are made afterwards.
+    Nulls, repeats and empty tables as in `duplicate_classes`.
     """
     rows = materialize(fingerprints(docs, words, LANES, doc, text, once=True).select("doc_id", "fp"), "fingerprints")
     nodes = materialize(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("fp")), "nodes"
     )
-    keyed = nodes.select("node", "fp").mapInArrow(
-        _segment_rows(64 * LANES, tables, key_bits, SEED), "node long, key long"
+    prints = nodes.select("node", "fp")
+    schema = "node long, class long, key long"
+
+    def near(pairs, name):
+        """Pairs (node, centre) of fingerprints that are near enough for a comparison."""
+        both = pairs.join(prints, "node").join(prints.select(F.col("node").alias("centre"), F.col("fp").alias("other")), "centre")
+        apart = _distance(F.col("fp"), F.col("other"))
+        return materialize(both.select("node", "centre", apart.alias("apart")).filter(F.col("apart") <= most_apart), name)
+
+    ends = lambda links: links.select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    compared = lambda links: _similar(links, nodes, docs, words, similarity, doc, text)
+    few = max(1, tables // FIRST)
+    finer = _finer_bits(few, key_bits)
+    keyed = nodes.select("node", F.col("node").alias("class"), "fp").mapInArrow(
+        _segment_rows(64 * LANES, few, key_bits, SEED), schema
     )
+    keyed = keyed.select("node", F.shiftright("key", finer).alias("key"))
     # the node nearest to a drawn number, by xor: few numbers, so a large family has few centres
     turn = F.xxhash64(F.pmod(F.shiftright("key", key_bits), F.lit(ORDERS)))
     centres = keyed.groupBy("key").agg(
@@ -257,32 +370,20 @@ def near_classes(
     centres = centres.filter("n > 1").select("key", F.col("least").bitwiseXOR(turn).alias("centre"))
     pairs = keyed.join(centres, "key").filter("node <> centre")
     pairs = pairs.select(F.greatest("node", "centre").alias("node"), F.least("node", "centre").alias("centre")).distinct()
-    prints = nodes.select("node", "fp")
-    near = materialize(
-        pairs.join(prints, "node")
-        .join(prints.select(F.col("node").alias("centre"), F.col("fp").alias("other")), "centre")
-        .select("node", "centre", _distance(F.col("fp"), F.col("other")).alias("apart"))
-        .filter(F.col("apart") <= most_apart),
-        "near",
-    )
-    ends = lambda links: links.select(F.col("node").alias("a"), F.col("centre").alias("b"))
-    compared = lambda links: _similar(links, nodes, docs, words, similarity, doc, text)
-    best = near.groupBy("node").agg(F.min(F.struct("apart", "centre")).alias("best")).select("node", "best.*")
-    linked = lambda some: ends(some.filter(F.col("apart") <= sure_apart)).unionByName(
-        ends(compared(some.filter(F.col("apart") > sure_apart).select("node", "centre")))
-    )
-    best = materialize(best, "nearest")
-    first = materialize(linked(best), "first-links")
-    roots = materialize(components(first), "first-roots")
-    rest = near.join(best.select("node", "centre"), ["node", "centre"], "left_anti")
-    rest = rest.join(roots.withColumnRenamed("root", "r"), "node", "left").join(
-        roots.select(F.col("node").alias("centre"), F.col("root").alias("s")), "centre", "left"
+    best = near(pairs, "near").groupBy("node").agg(F.min(F.struct("apart", "centre")).alias("best"))
+    best = materialize(best.select("node", "best.centre"), "nearest")
+    roots = materialize(components(materialize(ends(compared(best)), "first-links")), "first-roots")
+
+    finer = _finer_bits(tables, key_bits)
+    member = F.when(F.col("root") != F.col("node"), F.col("root"))  # null where it is the node itself
+    keyed = nodes.join(roots, "node", "left").select("node", member.alias("class"), "fp").mapInArrow(
+        _segment_rows(64 * LANES, tables, key_bits, SEED), schema
     )
-    rest = rest.filter(F.coalesce("r", "node") != F.coalesce("s", "centre")).select("node", "centre", "apart")
-    rest = materialize(rest, "rest")
+    keyed = keyed.repartition(F.shiftright("key", finer)).sortWithinPartitions("key")
+    pairs = keyed.mapInArrow(_pairs_of_buckets(finer, hold), "node long, centre long").distinct()
+    later = materialize(ends(compared(near(pairs, "bounded"))), "later-links")
     # classes are enough as ends of the links found now
-    later = linked(rest).unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    roots = components(later)
+    roots = components(later.unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
     placed = nodes.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(names, "root").select("fp", "component_id")

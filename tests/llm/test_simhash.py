@@ -139,3 +139,36 @@ def test_nulls_repeats_and_empty(spark):
     assert s.duplicate_classes(docs.limit(0)).collect() == []
     assert s.one_of_each(docs.limit(0)).collect() == []
     assert s.duplicate_classes(table(spark, [(1, "long " * 300_000)])).select(F.max("component_id")).first()[0] == 1
+
+
+def test_pairs_inside_a_large_family_with_default_parameters(spark):
+    """Members of a family are alike at about 0.7; of these, some have a copy at 0.8 or a little more."""
+    rnd = random.Random(21)
+    base = [f"w{k}" for k in range(300)]
+    docs, shingles = [], []
+
+    def vary(words, n):
+        words = list(words)
+        for at in rnd.sample(range(len(words)), n):
+            words[at] = f"v{rnd.randrange(10**9)}"
+        docs.append((len(docs), " ".join(words)))
+        shingles.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)})
+        return words
+
+    for member in [vary(base, 5) for _ in range(500)][:200]:
+        vary(member, rnd.randint(4, 6))
+    alike = lambda a, b: len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b])
+    links = [(a, b) for b in range(500, 700) for a in [b - 500] if alike(a, b) >= 0.8]
+    assert len(links) > 100
+    classes = {r["doc_id"]: r["component_id"] for r in s.near_classes(table(spark, docs)).collect()}
+    assert sum(classes[a] == classes[b] for a, b in links) >= 0.98 * len(links)
+
+
+def test_crowded_parts_are_bounded_and_whole():
+    rng = np.random.default_rng(3)
+    bucket = np.sort(rng.integers(0, 3, 500))
+    finer = np.where(bucket == 2, 7, rng.integers(0, 1 << 8, 500))
+    order, starts, sizes = s._bounded_parts(bucket, finer, 8, 5)
+    parts = [order[a : a + n] for a, n in zip(starts, sizes)]
+    assert max(sizes) <= 5 and {int(x) for p in parts for x in p} == set(range(500))
+    assert all(len(set(bucket[p])) == 1 for p in parts)
