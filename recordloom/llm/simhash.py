@@ -274,7 +274,7 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 LANES = 4  # 256 bits
-TABLES, KEY_BITS = 200, 24
+TABLES, KEY_BITS = 200, 20
 HOLD = 16  # members of a bucket, or part of one, that are all held against each other
 TURNS = 4  # orders of the finer bits that split a larger bucket
 FIRST = 5  # one in so many tables serves to find the plain copies first
