@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..scale import spread
-from . import chat, decontaminate, licenses, mixing, passages, private, quality, sharding, simhash, urlrules
+from . import bpe, chat, decontaminate, licenses, mixing, passages, private, quality, sharding, simhash, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,9 @@ def chat_format(spark, sf_dir):
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
     windows = chat.chat_windows(turns.unionByName(extra), chat.token_counter(spark))
     return chat.read_back(windows)
+
+
+@query("op11_bpe")
+def bpe_round_trip(spark, sf_dir):
+    vocabulary = bpe.share_vocabulary(spark)
+    return bpe.token_digests(bpe.decode_ids(bpe.encode_texts(documents(spark, sf_dir), vocabulary), vocabulary))
