@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..scale import spread
-from . import bpe, chat, decontaminate, licenses, mixing, passages, private, quality, sharding, simhash, urlrules
+from . import bpe, chat, decontaminate, licenses, mixing, passages, periods, private, quality, sharding, simhash, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +124,25 @@ def chat_format(spark, sf_dir):
 def bpe_round_trip(spark, sf_dir):
     vocabulary = bpe.share_vocabulary(spark)
     return bpe.token_digests(bpe.decode_ids(bpe.encode_texts(documents(spark, sf_dir), vocabulary), vocabulary))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Fixed by the contract: one document of ten, by the CRC of its id, goes on from word a with period p."""
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = (h % 10 == 0) & F.col("text").isNotNull()
+    g, n = F.col("g"), F.size("words").cast("long")
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(chosen, words).alias("words"))
+    placed = cut.withColumn("a", F.when(n > 0, g % n)).withColumn("p", F.floor((n - F.col("a")) / (g % 8 + 3)) + 1)
+    planted = F.array_join(
+        F.transform(
+            "words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+        ),
+        " ",
+    )
+    return placed.select("doc_id", F.when(F.size("words") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark, sf_dir):
+    return periods.run_digests(periods.periodic_runs(with_planted_periods(documents(spark, sf_dir))))
