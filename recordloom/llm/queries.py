@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scale import spread
-from . import bpe, chat, decontaminate, licenses, mixing, passages, periods, private, quality, sharding, simhash, urlrules
+from . import bpe, centroids, chat, decontaminate, licenses, mixing, passages, periods, private, quality, sharding, simhash, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +146,44 @@ def with_planted_periods(docs: DataFrame) -> DataFrame:
 @query("op12_periodic_runs")
 def periodic_runs(spark, sf_dir):
     return periods.run_digests(periods.periodic_runs(with_planted_periods(documents(spark, sf_dir))))
+
+
+def _clusters_sql() -> str:
+    """All distances in every round, as lists of 64 whole numbers."""
+    parts = ["""
+    kept AS (
+      SELECT row_number() OVER (ORDER BY vec_id) AS row_id, vec_id,
+             list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    centres0 AS (
+      SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS w
+      FROM kept QUALIFY c < 16)"""]
+    for i in range(4):
+        parts.append(f"""
+    near{i} AS (
+      SELECT row_id, min({{'d': d, 'c': c}}) AS best FROM (
+        SELECT row_id, c, list_sum(list_transform(list_zip(v, w), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM kept, centres{i})
+      GROUP BY row_id)""")
+        if i < 3:
+            parts.append(f"""
+    moved{i} AS (
+      SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY part) AS w FROM (
+        SELECT best.c AS c, part, sum(v[part])::HUGEINT AS s, count(*) AS n
+        FROM kept JOIN near{i} USING (row_id), (SELECT unnest(range(1, 65)) AS part)
+        GROUP BY 1, 2)
+      GROUP BY c),
+    centres{i + 1} AS (
+      SELECT o.c, coalesce(m.w, o.w) AS w FROM centres{i} o LEFT JOIN moved{i} m USING (c))""")
+    return "WITH " + ",".join(parts) + """
+    SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+           (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+           (sum(best.d) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(w, ',')) AS centroid_sha256
+    FROM kept JOIN near3 USING (row_id) JOIN centres3 ON c = best.c"""
+
+
+@query("op13_centroid_clusters", _clusters_sql())
+def centroid_clusters(spark, sf_dir):
+    return centroids.centroid_digests(centroids.cluster_vectors(read(spark, sf_dir, "embeddings", "vec_id", "embedding")))
