@@ -13,7 +13,7 @@ import heapq
 import json
 import re
 import unicodedata
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ _BLANK = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000,
 _CHUNK = re.compile(f"[^{_BLANK}]+")
 _NOT_BLANK = re.compile("[\x1c-\x1f]")  # blank to str.split, not to the library
 LONG_TEXT = 1 << 20  # longer texts are cut lazily
-REMEMBERED = 100_000  # chunks and words a worker remembers, and as many of each from before
+REMEMBERED = 200_000  # words a worker remembers, as many chunks, and as many of each from before
 
 
 def byte_symbols() -> list[str]:
@@ -68,6 +68,10 @@ def read_vocabulary(path: str = VOCABULARY) -> dict:
     }
 
 
+def _pack(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 def _older(text: str) -> str:
     """The text with characters newer than Python's tables, unknown to the library's split, as symbols."""
     if text.isascii():
@@ -97,7 +101,7 @@ class Remembering(dict):
 
 
 class Encoder:
-    """Token ids of texts; chunks (text without white space) and words are remembered."""
+    """Token ids of texts; chunks (text without white space) and words are remembered, as packed 32-bit ids."""
 
     def __init__(self, vocabulary: dict, most: int = REMEMBERED):
         import regex
@@ -110,70 +114,76 @@ class Encoder:
         shown = byte_symbols()
         self.inner = [vocab.get(s) for s in shown]
         self.last = [vocab.get(s + end) for s in shown]
-        # (left id, right id) packed in one number -> rank; ids of the merged symbols by rank
-        self.ranks = {
-            vocab[left] << 32 | vocab[right]: rank for rank, (left, right) in enumerate(vocabulary["merges"])
-        }
+        # by left id: right id -> rank; and the ids of the merged symbols by rank
+        self.ranks: list[dict[int, int]] = [{} for _ in range(max(vocab.values()) + 1)]
+        for rank, (left, right) in enumerate(vocabulary["merges"]):
+            self.ranks[vocab[left]][vocab[right]] = rank
         self.made = [vocab[left + right] for left, right in vocabulary["merges"]]
         self.words = Remembering(self.merge, most)
         self.chunks = Remembering(self.encode_chunk, most)
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
+    def encode_chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and chunk.isascii():
+            return self.words[chunk.lower()]
         parts = self.special.split(chunk) if self.special else [chunk]
-        ids: list[int] = []
+        packed = b""
         for i, part in enumerate(parts):
             if i % 2:  # the split keeps special strings at odd places
-                ids.append(self.added[part])
+                packed += _pack([self.added[part]])
             elif part.isascii():
                 for word in self.pieces.findall(part.lower()):
-                    ids += self.words[word]
+                    packed += self.words[word]
             else:
                 # character by character: the one rule of str.lower that looks around is for capital sigma
                 plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                if plain.isalpha():
+                    packed += self.words[plain]
+                    continue
                 for found in self.pieces.finditer(_older(plain)):
-                    ids += self.words[plain[found.start() : found.end()]]
-        return tuple(ids)  # unlike lists, tuples of numbers are no work for the garbage collector
+                    packed += self.words[plain[found.start() : found.end()]]
+        return packed
 
-    def merge(self, text: str) -> tuple[int, ...]:
+    def merge(self, text: str) -> bytes:
         """Ids of one word: its bytes as symbols, merged by rank, leftmost first among equals."""
         word = text.encode()
-        inner = self.inner
+        inner, ranks, made = self.inner, self.ranks, self.made
         ids = [inner[b] for b in word]
         ids[-1] = self.last[word[-1]]
-        ids = [i for i in ids if i is not None]
-        rank_of, n = self.ranks.get, len(ids)
-        # an entry is a rank and, in the low half, the place of the pair's left symbol
+        if None in ids:  # a byte the vocabulary does not know
+            ids = [i for i in ids if i is not None]
+        n = len(ids)
+        low = max(14, n.bit_length())  # an entry is a rank and, in the low bits, the place of the left symbol
         queue = [
-            rank << 32 | at
+            rank << low | at
             for at, (left, right) in enumerate(zip(ids, ids[1:]))
-            if (rank := rank_of(left << 32 | right)) is not None
+            if (rank := ranks[left].get(right)) is not None
         ]
         if not queue:
-            return tuple(ids)
+            return _pack(ids)
         heapq.heapify(queue)
-        pop, push, made = heapq.heappop, heapq.heappush, self.made
+        pop, push = heapq.heappop, heapq.heappush
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        mask = (1 << low) - 1
         while queue:
             entry = pop(queue)
-            at = entry & 0xFFFFFFFF
-            right = after[at]
-            left_id = ids[at]
-            if left_id < 0 or right >= n or rank_of(left_id << 32 | ids[right]) != entry >> 32:
+            at, rank = entry & mask, entry >> low
+            right, left_id = after[at], ids[at]
+            if left_id < 0 or right >= n or ranks[left_id].get(ids[right]) != rank:
                 continue  # stale: the pair no longer stands here
-            ids[at] = merged = made[entry >> 32]
+            ids[at] = merged = made[rank]
             ids[right] = -1
             after[at] = beyond = after[right]
             if beyond < n:
                 before[beyond] = at
-                rank = rank_of(merged << 32 | ids[beyond])
+                rank = ranks[merged].get(ids[beyond])
                 if rank is not None:
-                    push(queue, rank << 32 | at)
+                    push(queue, rank << low | at)
             ahead = before[at]
             if ahead >= 0:
-                rank = rank_of(ids[ahead] << 32 | merged)
+                rank = ranks[ids[ahead]].get(merged)
                 if rank is not None:
-                    push(queue, rank << 32 | ahead)
-        return tuple(i for i in ids if i >= 0)
+                    push(queue, rank << low | ahead)
+        return _pack([i for i in ids if i >= 0])
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
@@ -182,7 +192,7 @@ class Encoder:
             chunks = (m.group() for m in _CHUNK.finditer(text))
         else:
             chunks = text.split()
-        return np.fromiter(chain.from_iterable(map(self.chunks.__getitem__, chunks)), np.int32)
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), np.int32)
 
 
 class Decoder:
@@ -219,6 +229,30 @@ def _others(df: DataFrame, made: str) -> list:
     return [F.col(f"`{c}`") for c in df.columns if c.lower() != made.lower()]
 
 
+def _encoded(batches, vocabulary, names: list[str]):
+    """Batches whose last column, the text, is replaced by its token ids, 64 rows at a time."""
+    shared = vocabulary.value  # one object for all tasks of a worker, which so share what is remembered
+    encoder = shared.get("encoder") or shared.setdefault("encoder", Encoder(shared))
+    for batch in slices(batches, 64):
+        found = [encoder.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=names)
+
+
+def _decoded(batches, vocabulary, names: list[str], keep: bool):
+    """Batches with the text of their last column, token ids, after it or in its place."""
+    decoder = Decoder(vocabulary.value)
+    for batch in slices(batches, 64):
+        lists = batch.column(batch.num_columns - 1)
+        kept = batch.columns if keep else batch.columns[:-1]
+        yield pa.RecordBatch.from_arrays([*kept, decoder.decode(lists)], names=names)
+
+
+def _schema(rows: DataFrame, kept: list, **made: str):
+    return rows.select(*kept, *[F.lit(None).cast(kind).alias(name) for name, kind in made.items()]).schema
+
+
 def encode_texts(docs: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """The rows with a column of token ids (array<int>) in place of any column of that name.
 
@@ -229,19 +263,10 @@ def encode_texts(docs: DataFrame, vocabulary, text: str = "text", ids: str = "id
     Unicode 15.1, which Python's tables do not know, may get other ids than the library's.
     """
     kept = _others(docs, ids)
-    schema = docs.select(*kept, F.lit(None).cast("array<int>").alias(ids)).schema
+    schema = _schema(docs, kept, **{ids: "array<int>"})
     rows = docs.select(*kept, F.col(f"`{text}`").cast("string").alias("_text"))
-
-    def run(batches):
-        shared = vocabulary.value  # one object for all tasks of a worker, which so share what is remembered
-        encoder = shared.get("encoder") or shared.setdefault("encoder", Encoder(shared))
-        for batch in slices(batches, 64):
-            found = [encoder.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[f.name for f in schema])
-
-    return rows.mapInArrow(run, schema)
+    names = [f.name for f in schema]
+    return rows.mapInArrow(lambda batches: _encoded(batches, vocabulary, names), schema)
 
 
 def decode_ids(rows: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -251,16 +276,23 @@ def decode_ids(rows: DataFrame, vocabulary, ids: str = "ids", text: str = "decod
     vocabulary are left out, no ids give an empty text, a null list a null text.
     """
     kept = _others(rows, text)
-    schema = rows.select(*kept, F.lit(None).cast("string").alias(text)).schema
+    schema = _schema(rows, kept, **{text: "string"})
     table = rows.select(*kept, F.col(f"`{ids}`").cast("array<int>").alias("_ids"))
+    names = [f.name for f in schema]
+    return table.mapInArrow(lambda batches: _decoded(batches, vocabulary, names, False), schema)
+
+
+def round_trip(docs: DataFrame, vocabulary, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """`encode_texts`, then `decode_ids` on what it made, in one pass of one worker, without the text."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (text.lower(), ids.lower(), decoded.lower())]
+    schema = _schema(docs, kept, **{ids: "array<int>", decoded: "string"})
+    rows = docs.select(*kept, F.col(f"`{text}`").cast("string").alias("_text"))
+    names = [f.name for f in schema]
 
     def run(batches):
-        decoder = Decoder(vocabulary.value)
-        for batch in slices(batches, 64):
-            lists = batch.column(batch.num_columns - 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoder.decode(lists)], names=[f.name for f in schema])
+        return _decoded(_encoded(batches, vocabulary, names[:-1]), vocabulary, names, True)
 
-    return table.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def token_digests(rows: DataFrame, doc: str = "doc_id", ids: str = "ids", decoded: str = "decoded") -> DataFrame:

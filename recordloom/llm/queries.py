@@ -122,8 +122,7 @@ def chat_format(spark, sf_dir):
 
 @query("op11_bpe")
 def bpe_round_trip(spark, sf_dir):
-    vocabulary = bpe.share_vocabulary(spark)
-    return bpe.token_digests(bpe.decode_ids(bpe.encode_texts(documents(spark, sf_dir), vocabulary), vocabulary))
+    return bpe.token_digests(bpe.round_trip(documents(spark, sf_dir), bpe.share_vocabulary(spark)))
 
 
 def with_planted_periods(docs: DataFrame) -> DataFrame:

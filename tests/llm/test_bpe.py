@@ -66,7 +66,11 @@ def test_rows_nulls_and_clashing_columns(spark, library):
     assert made.columns == ["doc_id", "text", "ids", "decoded"]
     got = sorted((tuple(r) for r in bpe.token_digests(made).collect()), key=repr)
     assert got == sorted((expected(library, d, t) for d, t in docs), key=repr)
+    trip = bpe.round_trip(table, vocabulary)
+    assert trip.columns == ["doc_id", "ids", "decoded"]
+    assert sorted((tuple(r) for r in bpe.token_digests(trip).collect()), key=repr) == got
     assert bpe.encode_texts(table.limit(0), vocabulary).count() == 0
+    assert bpe.round_trip(table.limit(0), vocabulary).count() == 0
 
 
 def test_decoding_unknown_and_null_ids(spark, library):
