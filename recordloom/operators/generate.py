@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.template import (
@@ -15,10 +18,12 @@ from ..scale import (
     RANK_BUCKETS,
     at_or_before,
     global_index,
+    is_small,
     materialize,
     pin,
     rows_at_ranks,
     running,
+    scratch_path,
 )
 from .params import (
     context_of,
@@ -206,18 +211,27 @@ def pair_flawed_fixed(samples: DataFrame, flag: str) -> DataFrame:
 # -------------------------------------------------------------------- generation
 
 
-def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataFrame:
-    """First attempt of every distinct (pattern, choice) drawn, with its binding.
+def index_catalog(catalog: DataFrame, path: str | None = None) -> DataFrame:
+    """The catalog compiled and numbered by `pattern_pos`, written once for all rounds."""
+    # the narrow ids alone are numbered, so compiling keeps the parallelism of the catalog
+    ids = catalog.select("pattern_id")
+    if is_small(ids):
+        place = F.row_number().over(Window.orderBy("pattern_id")).cast("long") - 1
+        places = F.broadcast(ids.select("pattern_id", place.alias("pattern_pos")))
+    else:
+        places = global_index(ids, ["pattern_id"], "pattern_pos", limit=0)
+    ready = compile_catalog(catalog.join(places, "pattern_id"), "pattern_pos").withColumn(
+        "_entries", option_entries(F.col("parameters"))
+    ).drop("parameters")
+    return materialize(ready, "catalog") if path is None else _kept(ready, path)
+
+
+def draw_contexts(indexed: DataFrame, size: int, attempts: DataFrame, seed: int) -> DataFrame:
+    """(pattern_pos, choice, attempt): the first attempt of every distinct choice that is drawn.
 
     Attempts only carry numbers up to the grouping, which combines map-side: however
-    many attempts there are, at most one row per distinct context is rendered.
+    many attempts there are, at most one row per distinct context goes on.
     """
-    entries = option_entries(F.col("parameters"))
-    # numbered first: what follows the numbering keeps the parallelism of the blocks
-    numbered = global_index(catalog, ["pattern_id"], "pattern_pos", limit=0)
-    indexed = materialize(
-        compile_catalog(numbered, "pattern_pos").withColumn("_entries", entries), "catalog"
-    )
     names = indexed.select(
         "pattern_pos",
         "pattern_id",
@@ -229,8 +243,7 @@ def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataF
             ),
         ).alias("_shape"),
     )
-    drawn = with_draw(attempts.select("attempt"), indexed.count(), seed)
-    choices = drawn.join(names, "pattern_pos").select(
+    choices = with_draw(attempts.select("attempt"), size, seed).join(names, "pattern_pos").select(
         "pattern_pos",
         F.array_join(
             drawn_choice(F.col("_shape"), seed, F.col("attempt"), F.col("pattern_id")).cast(
@@ -240,92 +253,155 @@ def sample_contexts(catalog: DataFrame, attempts: DataFrame, seed: int) -> DataF
         ).alias("choice"),
         "attempt",
     )
-    first = choices.groupBy("pattern_pos", "choice").agg(F.min("attempt").alias("attempt"))
-    numbers = F.filter(F.split("choice", ","), lambda c: c != "").cast("array<int>")
-    joined = first.join(indexed, "pattern_pos")
-    return pin(joined, {"ctx": context_of(F.col("_entries"), numbers)}).drop(
-        "_entries", "parameters", "choice"
-    )
+    return choices.groupBy("pattern_pos", "choice").agg(F.min("attempt").alias("attempt"))
 
 
-def generate_attempts(
-    catalog: DataFrame, attempts: DataFrame, seed: int, validators: list | None = None
+def judge_contexts(
+    indexed: DataFrame, contexts: DataFrame, validators: list | None = None, seen: DataFrame | None = None
 ) -> DataFrame:
-    """Judged samples: `outcome` is accepted, invalid or render_error."""
-    # read three times below, so rendered once
-    samples = materialize(render_samples(sample_contexts(catalog, attempts, seed)), "samples")
-    broken = samples.filter(F.col("render_error").isNotNull()).select(
+    """Rendered contexts with their `outcome`, one row per text and one per failure to render.
+
+    Of equal texts the lowest attempt stays, empty texts go, and texts whose `md5` is in
+    `seen` are dropped before they are checked. The text is carried through one shuffle; a
+    text many contexts share leaves one row per task before it.
+    """
+    numbers = F.filter(F.split("choice", ","), lambda c: c != "").cast("array<int>")
+    bound = pin(contexts.join(indexed, "pattern_pos"), {"ctx": context_of(F.col("_entries"), numbers)})
+    rendered = render_samples(bound.drop("_entries", "choice"))
+    fine = F.col("render_error").isNull()
+    samples = rendered.filter(~fine | (F.col("code") != "")).select(
         "attempt",
         "pattern_id",
-        F.lit("render_error").alias("outcome"),
-        F.col("render_error").alias("error"),
         "instruction",
         "code",
         "tests",
+        "render_error",
+        F.md5(F.col("code").cast("binary")).alias("md5"),
     )
-    unique = dedup_md5(samples.filter(F.col("render_error").isNull()), "code", "attempt")
+    # a failure has no text, so its attempt stands for one
+    same = Window.partitionBy(F.coalesce("md5", F.col("attempt").cast("string"))).orderBy("attempt")
+    unique = samples.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
+    if seen is not None:
+        unique = unique.join(seen.select("md5"), "md5", "left_anti")
     judged = validate(unique, "code", validators or [], parse=True)
-    kept = judged.select(
+    outcome = F.when(~fine, "render_error").when(F.col("valid"), "accepted").otherwise("invalid")
+    return judged.select(
         "attempt",
         "pattern_id",
-        F.when(F.col("valid"), "accepted").otherwise("invalid").alias("outcome"),
-        "error",
+        outcome.alias("outcome"),
+        F.coalesce("render_error", "error").alias("error"),
         "instruction",
         "code",
         "tests",
+        "md5",
     )
-    return kept.unionAll(broken)
+
+
+def generate_attempts(
+    catalog: DataFrame, attempts: DataFrame, seed: int, validators: list | None = None
+) -> DataFrame:
+    """Judged samples: `outcome` is accepted, invalid or render_error."""
+    indexed = index_catalog(catalog)
+    contexts = draw_contexts(indexed, indexed.count(), attempts, seed)
+    return judge_contexts(indexed, contexts, validators).drop("md5")
 
 
 # Attempts per wanted sample in the first round.
-FIRST_FACTOR = 4
+FIRST_FACTOR = 2
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """The rows of `df` at a path: written now, or by an earlier run that finished them."""
+    spark = df.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _claim(catalog: DataFrame, folder: str, plan: str) -> None:
+    """Record what a folder's rounds were made from; anything else is refused later."""
+    spark = catalog.sparkSession
+    rows = F.xxhash64(F.to_json(F.struct(*catalog.columns)))
+    mark = catalog.agg(F.concat_ws(":", F.lit(plan), F.count(F.lit(1)), F.bit_xor(rows)).alias("value"))
+    wanted = mark.first()["value"]
+    found = _kept(spark.createDataFrame([(wanted,)], "value string"), f"{folder}/plan").first()["value"]
+    if found != wanted:
+        raise ValueError(f"{folder} holds rounds of another catalog, size, seed or ceiling")
 
 
 def generate_dataset(
-    catalog: DataFrame, n: int, seed: int, max_factor: int = 200, validators: list | None = None
+    catalog: DataFrame,
+    n: int,
+    seed: int,
+    max_factor: int = 200,
+    validators: list | None = None,
+    folder: str | None = None,
 ) -> tuple[DataFrame, dict]:
     """The first n accepted samples of at most n * max_factor attempts, and a report.
 
-    Attempts never depend on later ones, so they are made in rounds, each with twice as
-    many as the one before, until n are accepted or the ceiling is reached. The stop
-    point is found as an exact rank from a histogram of attempt numbers, so no global
-    sort or single-task limit is needed.
+    Attempts never depend on later ones, so they are made in rounds that each draw new
+    attempts only, as many as all rounds before together, until n are accepted or the ceiling is
+    reached. A round drops contexts and text hashes of earlier rounds by anti-joins on those
+    narrow columns, then writes its judged rows once; the result is read from these files. The
+    stop point is found as an exact rank from a histogram of attempt numbers, so no global
+    sort or single-task limit is needed. With `folder` (shared, one per catalog, size, seed
+    and ceiling) finished rounds are kept there, and a run that was cut off goes on behind them; the
+    validators must then be the same.
     """
-    spark = catalog.sparkSession
-    ceiling, factor, cut = n * max_factor, FIRST_FACTOR, None
-    while True:
-        total = min(ceiling, n * factor)
-        attempts = spark.range(total).withColumnRenamed("id", "attempt")
-        judged = materialize(generate_attempts(catalog, attempts, seed, validators), "samples")
-        accepted = judged.filter(F.col("outcome") == "accepted")
-        width = max(1, -(-total // RANK_BUCKETS))
-        bucket = F.floor(F.col("attempt") / width).cast("long")
-        cut = rows_at_ranks(accepted, bucket, ["attempt"], [n])[0]
-        if cut is not None or total >= ceiling:
-            break
-        factor *= 2
-    used = total if cut is None else cut[0] + 1
-    if cut is not None:
-        accepted = accepted.filter(at_or_before(["attempt"], cut))
-    counts = {
-        r["outcome"]: r["n"]
-        for r in judged.filter(F.col("attempt") < used)
-        .groupBy("outcome")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
-    kept = counts.get("accepted", 0)
-    unique = sum(counts.values())
+    spark, ceiling = catalog.sparkSession, n * max_factor
+    if folder is None:
+        folder = scratch_path(spark, "rounds")
+    else:
+        _claim(catalog, folder, f"{n}:{seed}:{max_factor}")
+    indexed = index_catalog(catalog, f"{folder}/catalog")
+    size, start, counts, cut = indexed.count(), 0, Counter(), None
+    contexts: list[DataFrame] = []
+    rounds: list[DataFrame] = []
+    while start < ceiling and cut is None:
+        end = min(ceiling, max(2 * start, n * FIRST_FACTOR))
+        drawn = draw_contexts(indexed, size, spark.range(start, end).withColumnRenamed("id", "attempt"), seed)
+        if contexts:
+            drawn = drawn.join(reduce(DataFrame.unionAll, contexts), ["pattern_pos", "choice"], "left_anti")
+        at = f"{folder}/round-{len(rounds)}"
+        new = _kept(drawn, f"{at}/contexts")
+        seen = reduce(DataFrame.unionAll, rounds) if rounds else None
+        judged = _kept(judge_contexts(indexed, new, validators, seen), f"{at}/judged")
+        contexts.append(new.select("pattern_pos", "choice"))
+        rounds.append(judged)
+        made = _outcomes(judged)
+        if counts["accepted"] + made["accepted"] >= n:
+            width = max(1, -(-(end - start) // RANK_BUCKETS))
+            bucket = F.floor((F.col("attempt") - start) / width).cast("long")
+            accepted = judged.filter(F.col("outcome") == "accepted")
+            cut = rows_at_ranks(accepted, bucket, ["attempt"], [n - counts["accepted"]])[0]
+            judged = judged.filter(at_or_before(["attempt"], cut))
+            rounds[-1], made = judged, _outcomes(judged)
+        counts += made
+        start = end
+    used = start if cut is None else cut[0] + 1
+    columns = ["attempt", "pattern_id", "instruction", "code", "tests"]
+    if rounds:
+        rows = reduce(DataFrame.unionAll, rounds).filter(F.col("outcome") == "accepted").select(columns)
+    else:
+        texts = {"instruction": "string", "code": "string", "tests": "array<string>"}
+        blank = [F.lit(None).cast(kind).alias(name) for name, kind in texts.items()]
+        rows = spark.range(0).select(F.col("id").alias("attempt"), F.lit("").alias("pattern_id"), *blank)
     report = dict(
         requested=n,
-        accepted=kept,
-        shortfall=n - kept,
+        accepted=counts["accepted"],
+        shortfall=n - counts["accepted"],
         attempts=used,
-        invalid=counts.get("invalid", 0),
-        render_errors=counts.get("render_error", 0),
-        repeated=used - unique,
+        invalid=counts["invalid"],
+        render_errors=counts["render_error"],
+        repeated=used - counts.total(),
     )
-    return accepted.select("attempt", "pattern_id", "instruction", "code", "tests"), report
+    return rows, report
+
+
+def _outcomes(judged: DataFrame) -> Counter:
+    counted = judged.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()
+    return Counter({r["outcome"]: r["n"] for r in counted})
 
 
 def generate_batch(

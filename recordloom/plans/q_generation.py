@@ -218,13 +218,14 @@ SELECT attempt, pattern_id, instruction, code, NOT (broken OR starred) AS ok FRO
     "generate_attempts",
     f"""
     SELECT attempt, pattern_id, instruction, code,
-      CASE WHEN ok THEN 'accepted' ELSE 'invalid' END AS outcome FROM ({_JUDGED})""",
+      CASE WHEN ok THEN 'accepted' ELSE 'invalid' END AS outcome FROM ({_JUDGED})
+    UNION ALL
+    SELECT min(attempt), pattern_id, NULL, NULL, 'render_error'
+    FROM ({_DRAWN}) WHERE unrendered GROUP BY pattern_id, style, size""",
 )
 def attempts(spark, sf_dir):
     judged = g.generate_attempts(part_catalog(spark, sf_dir), _attempts(spark, sf_dir), SEED)
-    return judged.filter(F.col("outcome") != "render_error").select(
-        "attempt", "pattern_id", "instruction", "code", "outcome"
-    )
+    return judged.select("attempt", "pattern_id", "instruction", "code", "outcome")
 
 
 def flagship(spark, sf_dir):

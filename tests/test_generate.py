@@ -158,6 +158,47 @@ def test_result_does_not_depend_on_partitions(spark, catalog, partitions):
     assert got == [tuple(r[:4]) for r in samples.orderBy("attempt").collect()]
 
 
+def _later(spark, path):
+    """Modification times of the files of finished rounds."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return {r["path"]: r["modificationTime"] for r in names.select("path", "modificationTime").collect()}
+
+
+def test_rounds_draw_new_attempts_only_and_resume(spark, catalog, tmp_path, monkeypatch):
+    want = rows(g.generate_dataset(catalog, 6, seed=4, max_factor=30)[0])
+    monkeypatch.setattr(g, "FIRST_FACTOR", 1)
+    folder = str(tmp_path / "run")
+    samples, report = g.generate_dataset(catalog, 6, seed=4, max_factor=30, folder=folder)
+    assert rows(samples) == want
+    seen, texts, choices, at = 0, set(), set(), 0
+    while (tmp_path / "run" / f"round-{at}").exists():
+        made = spark.read.parquet(f"{folder}/round-{at}/judged").collect()
+        new = spark.read.parquet(f"{folder}/round-{at}/contexts").collect()
+        end = max(2 * seen, 6)
+        assert all(seen <= r["attempt"] < end for r in [*made, *new])
+        assert not texts & {r["md5"] for r in made if r["md5"]}
+        assert not choices & {(r["pattern_pos"], r["choice"]) for r in new}
+        texts |= {r["md5"] for r in made}
+        choices |= {(r["pattern_pos"], r["choice"]) for r in new}
+        seen, at = end, at + 1
+    assert at > 1
+    # a run that was cut off in its last round keeps the finished ones
+    (tmp_path / "run" / f"round-{at - 1}" / "judged" / "_SUCCESS").unlink()
+    before = _later(spark, folder)
+    again, second = g.generate_dataset(catalog, 6, seed=4, max_factor=30, folder=folder)
+    assert rows(again) == want and second == report
+    after = _later(spark, folder)
+    kept = {p for p in before if f"round-{at - 1}/judged" not in p}
+    assert kept and all(after[p] == before[p] for p in kept)
+    with pytest.raises(ValueError):
+        g.generate_dataset(catalog, 6, seed=5, max_factor=30, folder=folder)
+
+
+def test_no_samples_wanted(catalog):
+    samples, report = g.generate_dataset(catalog, 0, seed=1)
+    assert samples.count() == 0 and report["attempts"] == report["accepted"] == 0
+
+
 def test_empty_catalog(catalog):
     samples, report = g.generate_dataset(catalog.limit(0), 3, seed=1, max_factor=5)
     assert samples.count() == 0 and report["accepted"] == 0 and report["attempts"] == 15
