@@ -29,12 +29,6 @@ def tokenize_alpha(col: Column) -> Column:
     return F.filter(words, lambda t: t.rlike(r"^[a-z]+$"))
 
 
-def sequence_starts(tokens: Column, length: int) -> Column:
-    """Start offsets of the stride-1 windows of a token array."""
-    n = F.size(tokens) - F.lit(length)
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-
 def template_vars(col: Column) -> Column:
     """Sorted distinct names used as {{ name }}."""
     return F.array_sort(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import normalize_string, sequence_starts
+from ..functions.text import normalize_string
 from ..scale import global_index, materialize, pin, running
 
 UNK_ID, PAD_ID, FIRST_ID = 0, 1, 2
@@ -94,26 +94,37 @@ def corpus_metadata(
     )
 
 
-def sequence_windows(df: DataFrame, tokens: Column, length: int) -> DataFrame:
+# Windows that begin in one chunk of a text; a chunk also holds the tokens its last windows reach.
+CHUNK = 1024
+
+
+def sequence_windows(df: DataFrame, tokens: Column, length: int, chunk: int = CHUNK) -> DataFrame:
     """Stride-1 windows inside each row: start, x (length tokens), y (shifted by one).
 
-    The windows are cut inside one expression, so only they are copied, never the token array.
+    A text is cut into chunks that overlap by `length` tokens, then positions are exploded and
+    slices taken in generated code, so a long text is held about once and never all its windows.
     """
     ready = pin(df, {"_tokens": tokens})
-    starts = sequence_starts(F.col("_tokens"), length)
-    return ready.select(*df.columns, F.inline(_windows_at("_tokens", starts, length)))
-
-
-def _windows_at(tokens: str, starts: Column, length: int) -> Column:
-    """array<struct<start, x, y>> of the windows of a token array."""
-    return F.transform(
-        starts,
-        lambda i: F.struct(
-            i.alias("start"),
-            F.slice(F.col(tokens), i + 1, F.lit(length)).alias("x"),
-            F.slice(F.col(tokens), i + 2, F.lit(length)).alias("y"),
-        ),
+    last = F.size("_tokens") - F.lit(length) - 1  # start of the last window
+    firsts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(chunk))).otherwise(F.array().cast("array<int>"))
+    halo = F.lit(chunk + length)
+    chunks = F.transform(
+        firsts, lambda c: F.struct(c.alias("_first"), F.slice(F.col("_tokens"), c + 1, halo).alias("_chunk"))
     )
+    pieces = ready.select(*df.columns, F.inline(chunks))
+    start = (F.col("_first") + F.col("_at")).alias("start")
+    return _cut(pieces, "_chunk", F.size("_chunk") - F.lit(length), length).select(*df.columns, start, "x", "y")
+
+
+def _cut(rows: DataFrame, tokens: str, count: Column, length: int) -> DataFrame:
+    """The first `count` windows of a bounded token array: `_at` from 0, x and y."""
+    at = F.explode(F.sequence(F.lit(0), count - 1))
+    placed = rows.filter(count > 0).withColumn("_at", at)
+    cut = {
+        "x": F.slice(F.col(tokens), F.col("_at") + 1, F.lit(length)),
+        "y": F.slice(F.col(tokens), F.col("_at") + 2, F.lit(length)),
+    }
+    return placed.withColumns(cut).drop(tokens)
 
 
 def corpus_windows(
@@ -145,9 +156,8 @@ def corpus_windows(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_p"))), lambda p: p["_p"])).alias("_t")
     )
     count = F.least(F.size("_t") - F.lit(length), F.lit(block))
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    windows = blocks.select("_b", F.inline(_windows_at("_t", starts, length)))
-    return windows.select((F.col("_b") * size + F.col("start")).alias("start"), "x", "y")
+    windows = _cut(blocks, "_t", count, length)
+    return windows.select((F.col("_b") * size + F.col("_at")).alias("start"), "x", "y")
 
 
 def require_windows(n_tokens: int, length: int) -> int:

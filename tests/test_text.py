@@ -116,3 +116,26 @@ def test_text_keys_and_unicode_blanks(spark):
     blanks = spark.createDataFrame([("a\u00a0b\u2003c d\x1ce",)], "s string")
     row = blanks.select(clean_text(F.col("s")), tokenize_ws(F.col("s"))).first()
     assert tuple(row) == ("a b c d e", ["a", "b", "c", "d", "e"])
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 1024])
+def test_windows_do_not_depend_on_chunks(spark, chunk):
+    texts = [(i, " ".join(f"w{j}" for j in range(n))) for i, n in enumerate([0, 1, 3, 4, 5, 6, 7, 8, 9, 14, 15, 30])] + [(99, None)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    got = {(r["id"], r["start"]): (r["x"], r["y"]) for r in t.sequence_windows(df, words, 4, chunk).collect()}
+    want = {}
+    for i, text in texts:
+        w = (text or "").split()
+        for s in range(len(w) - 4):
+            want[(i, s)] = (w[s : s + 4], w[s + 1 : s + 5])
+    assert got == want
+
+
+def test_windows_of_a_long_text(spark):
+    df = spark.range(1).withColumn("text", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(199_999)), lambda i: F.concat(F.lit("w"), i.cast("string"))), " "))
+    got = t.sequence_windows(df, F.split("text", " "), 64)
+    right = (F.element_at("x", 1) == F.concat(F.lit("w"), F.col("start").cast("string"))) & (
+        F.element_at("y", 64) == F.concat(F.lit("w"), (F.col("start") + 64).cast("string"))
+    )
+    assert got.agg(F.count(F.lit(1)), F.min("start"), F.max("start"), F.bool_and(right)).first() == (199_936, 0, 199_935, True)
