@@ -22,8 +22,8 @@ from .words import WordHash, blank_words, slices, utf8
 
 WINDOW, PREFIX = 50, 8
 REACH = WINDOW - PREFIX  # places an anchor can stand behind the start of its window
-GROUP_ROWS = 20_000  # anchors of one prefix that one tree takes; more are split by whole windows
-BUNDLE_ROWS = 30_000  # anchors of several prefixes that go into one tree
+GROUP_ROWS = 5_000  # anchors of one prefix that one tree takes; more are split by whole windows
+BUNDLE_ROWS = 5_000  # anchors of several prefixes that go into one tree
 
 
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,15 +130,15 @@ class Tree:
         return out
 
 
-def repeated_windows(docs: np.ndarray, before: np.ndarray, contexts: list[list[bytes]]) -> np.ndarray:
+def repeated_windows(docs: np.ndarray, before: np.ndarray, contexts: list[bytes]) -> np.ndarray:
     """Per anchor a bit mask: bit o is set if the window that starts o words before the anchor
     also stands in a document with a smaller id."""
     number: dict[bytes, int] = {}
-    right = np.zeros((len(contexts), WINDOW), np.int64)
-    left = np.zeros((len(contexts), REACH), np.int64)
+    right = np.zeros((len(contexts), WINDOW), np.uint32)
+    left = np.zeros((len(contexts), REACH), np.uint32)
     after = np.zeros(len(contexts), np.int64)
-    for i, words in enumerate(contexts):
-        ids = [number.setdefault(w, len(number) + 1) for w in words]
+    for i, context in enumerate(contexts):
+        ids = [number.setdefault(w, len(number) + 1) for w in context.split()]
         b = before[i]
         after[i] = len(ids) - b
         right[i, : after[i]] = ids[b:]
@@ -162,8 +162,7 @@ def _trees(batches):
 
     def bundle(table):
         docs = table.column("doc_id").to_numpy()
-        contexts = [c.split() for c in table.column("context").to_pylist()]
-        masks = repeated_windows(docs, table.column("before").to_numpy(), contexts)
+        masks = repeated_windows(docs, table.column("before").to_numpy(), table.column("context").to_pylist())
         hit = np.flatnonzero(masks)
         return pa.RecordBatch.from_arrays(
             [pa.array(docs[hit]), pa.array(table.column("pos").to_numpy()[hit]), pa.array(masks[hit])],
@@ -172,7 +171,7 @@ def _trees(batches):
 
     held: list[pa.RecordBatch] = []
     n = 0
-    for batch in batches:
+    for batch in slices(batches, 1000):
         held.append(batch)
         n += batch.num_rows
         if n >= BUNDLE_ROWS:
