@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of copies and near copies."""
+    """The document with the smallest id of every class of fingerprints linked at 3 bits or fewer."""
     return simhash.one_of_each(docs)
 
 

@@ -13,7 +13,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scale import is_small, materialize
@@ -36,49 +36,25 @@ def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
 
 
-def _lane(h: np.ndarray, lane: int) -> np.ndarray:
-    """Further 64 bits per shingle: the hash itself in lane 0, a mixture of it in the others."""
-    if not lane:
-        return h
-    x = h + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def fingerprint(hashes: np.ndarray) -> int:
+    """64 bits, as a signed number: 1 where over half the hashes have the bit. No hashes: zero."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), _CHUNK):
+        part = hashes[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
-    """64 bits per lane: 1 where over half the hashes have the bit. No hashes: zero."""
-    out = []
-    for lane in range(lanes):
-        ones = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(hashes), _CHUNK):
-            part = _lane(hashes[at : at + _CHUNK], lane).astype("<u8").view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
-    return np.array(out, dtype=np.int64)
-
-
-def fingerprints(
-    docs: DataFrame, words: int, lanes: int = 1, doc: str = "doc_id", text: str = "text", once: bool = False
-) -> DataFrame:
-    """(doc_id, n_words, fp array<long>), one row per input row; null text has no words.
-
-    With `once` every distinct shingle votes once, else as often as it occurs.
-    """
-    seen = np.unique if once else np.asarray
+def fingerprints(docs: DataFrame, words: int, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fp), one row per input row; null text has no words."""
 
     def scan(batches):
         for batch in slices(batches):
-            fps, counts = [], []
-            for t in utf8(batch.column(1)):
-                own = lower_blank_words(t)
-                counts.append(len(own))
-                fps.append(fingerprint(seen(shingle_hashes(own, words)), lanes))
-            made = [pa.array(counts, pa.int64()), pa.array(fps, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_words", "fp"])
+            fps = [fingerprint(shingle_hashes(lower_blank_words(t), words)) for t in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
     own = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return own.mapInArrow(scan, "doc_id long, n_words long, fp array<long>")
+    return own.mapInArrow(scan, "doc_id long, fp long")
 
 
 def _ball(bits: int, radius: int) -> list[int]:
@@ -137,9 +113,7 @@ def duplicate_classes(docs: DataFrame, words: int = 3, doc: str = "doc_id", text
     gets a component but never names one (a component of null ids only has a null id).
     Rows that repeat are classified one by one, other columns ignored, no rows from an empty table.
     """
-    rows = materialize(
-        fingerprints(docs, words, 1, doc, text).select("doc_id", F.col("fp")[0].alias("fp")), "fingerprints"
-    )
+    rows = materialize(fingerprints(docs, words, doc, text), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links_within_3(nodes.select("fp"), hot))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -152,250 +126,12 @@ def duplicate_classes(docs: DataFrame, words: int = 3, doc: str = "doc_id", text
     )
 
 
-def _finer_bits(tables: int, key_bits: int) -> int:
-    """Further positions that fit beside the table and the key into one long; a multiple of TURNS."""
-    return min(32, 63 - tables.bit_length() - key_bits) // TURNS * TURNS
-
-
-def _segment_rows(bits: int, tables: int, key_bits: int, seed: int):
-    """(node, class, key) per fingerprint and table: seeded positions, `key_bits` and then finer ones."""
-    rng = np.random.default_rng(seed)
-    length = key_bits + _finer_bits(tables, key_bits)
-    places = np.array([rng.choice(bits, length, replace=False) for _ in range(tables)])
-    powers = (np.int64(1) << np.arange(length, dtype=np.int64))[::-1]
-    tops = np.arange(tables, dtype=np.int64) << length
-
-    def scan(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype("<i8")
-            ones = np.unpackbits(fps.view(np.uint8).reshape(batch.num_rows, -1), axis=1, bitorder="little")
-            for t in range(tables):
-                keys = ones[:, places[t]] @ powers + tops[t]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys)], names=["node", "class", "key"])
-
-    return scan
-
-
-def _changes(values: np.ndarray) -> np.ndarray:
-    """Where a run of equal values begins."""
-    return np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=bool)
-
-
-def _bounded_parts(bucket: np.ndarray, finer: np.ndarray, bits: int, hold: int):
-    """(order, starts, sizes) of parts of at most `hold` rows: each bucket split bit by bit as far as needed.
-
-    Rows that agree in all finer bits are cut into parts that share a row.
-    """
-    order = np.lexsort((finer, bucket))
-    bucket, finer = bucket[order], finer[order]
-    new, open_ = _changes(bucket), np.ones(len(order), dtype=bool)
-    starts, sizes = [], []
-    for depth in range(bits + 1):
-        first = np.flatnonzero(new | _changes(finer >> (bits - depth)))
-        n = np.diff(np.append(first, len(order)))
-        done = open_[first] & (n <= hold)
-        starts.append(first[done])
-        sizes.append(n[done])
-        open_ &= np.repeat(n > hold, n)
-        if not open_.any():
-            break
-    for at, size in zip(first[n > hold].tolist(), n[n > hold].tolist()):
-        cut = np.arange(at, at + size - 1, hold - 1)
-        starts.append(cut)
-        sizes.append(np.minimum(hold, at + size - cut))
-    return order, np.concatenate(starts), np.concatenate(sizes)
-
-
-def _pairs_of_buckets(finer_bits: int, hold: int):
-    """(node, centre) of all rows of a bucket that are of different classes; buckets come one after the other.
-
-    A bucket of more than `hold` rows is split by the finer bits, in TURNS orders of them.
-    """
-    low, shift = (np.int64(1) << finer_bits) - 1, finer_bits // TURNS
-
-    def emit(nodes, classes, order, starts, sizes):
-        for size in range(2, hold + 1):
-            i, j = np.triu_indices(size, 1)
-            of_size = starts[sizes == size]
-            for at in range(0, len(of_size), _PARTS):
-                first = of_size[at : at + _PARTS, None]
-                a, b = order[(first + i).ravel()], order[(first + j).ravel()]
-                apart = classes[a] != classes[b]
-                a, b = nodes[a[apart]], nodes[b[apart]]
-                if len(a):
-                    made = [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))]
-                    yield pa.RecordBatch.from_arrays(made, names=["node", "centre"])
-
-    def pairs(held):
-        nodes, classes, keys = (np.concatenate(c) for c in zip(*held))
-        bucket = keys >> finer_bits
-        starts = np.flatnonzero(_changes(bucket))
-        sizes = np.diff(np.append(starts, len(keys)))
-        yield from emit(nodes, classes, np.arange(len(keys)), starts, sizes)
-        # buckets of one class need no pairs
-        mixed = np.maximum.reduceat(classes, starts) != np.minimum.reduceat(classes, starts)
-        crowded = np.repeat((sizes > hold) & mixed, sizes)
-        if not crowded.any():
-            return
-        nodes, classes, keys, bucket = nodes[crowded], classes[crowded], keys[crowded], bucket[crowded]
-        for turn in range(TURNS):
-            by, finer = turn * shift, keys & low
-            turned = ((finer << by) | (finer >> (finer_bits - by))) & low
-            yield from emit(nodes, classes, *_bounded_parts(bucket, turned, finer_bits, hold))
-
-    def scan(batches):
-        held, last = [], None  # the bucket that may go on
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            nodes, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            classes = batch.column(1).fill_null(0).to_numpy()
-            classes = np.where(batch.column(1).is_null().to_numpy(zero_copy_only=False), nodes, classes)
-            bucket = keys >> finer_bits
-            end = int(np.searchsorted(bucket, bucket[-1]))
-            if end or bucket[0] != last:
-                done = [*held, (nodes[:end], classes[:end], keys[:end])]
-                if sum(len(c[0]) for c in done):
-                    yield from pairs(done)
-                held = []
-            held.append((nodes[end:], classes[end:], keys[end:]))
-            last = bucket[-1]
-        if held:
-            yield from pairs(held)
-
-    return scan
-
-
-def _distance(a: Column, b: Column) -> Column:
-    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
-
-
-LANES = 4  # 256 bits
-TABLES, KEY_BITS = 200, 20
-HOLD = 16  # members of a bucket, or part of one, that are all held against each other
-TURNS = 4  # orders of the finer bits that split a larger bucket
-FIRST = 5  # one in so many tables serves to find the plain copies first
-ORDERS = 4  # ways to choose the member of a bucket that the others are then held against
-_PARTS = 4096  # parts of a bucket whose pairs are passed on at a time
-SIMILARITY = 0.8
-# Of 256 bits, fingerprints of sets with a Jaccard similarity of 0.8 are 39 apart on average,
-# with a deviation of 6: up to MOST_APART bits the sets of shingles of a pair are compared.
-MOST_APART = 60
-
-
-def _shingle_sets(wanted: DataFrame, docs: DataFrame, words: int, doc: str, text: str) -> DataFrame:
-    """(node, shingles array<int>) of the nodes `wanted` (node, first): 32 bits of each distinct shingle's hash."""
-
-    def scan(batches):
-        for batch in slices(batches):
-            nodes, sets = [], []
-            for node, fp, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
-                hashes = np.unique(shingle_hashes(lower_blank_words(t), words))
-                if fingerprint(hashes, len(fp)).tolist() == fp:  # rows of one id may differ in text
-                    nodes.append(node)
-                    sets.append(np.unique(hashes.astype(np.uint32).view(np.int32)))
-            made = [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(made, names=["node", "shingles"])
-
-    own = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = own.join(wanted, own["doc_id"].eqNullSafe(wanted["first"])).select("node", "fp", "text")
-    found = found.mapInArrow(scan, "node long, shingles array<int>")
-    return found.groupBy("node").agg(F.min("shingles").alias("shingles"))
-
-
-def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, least: float, doc: str, text: str) -> DataFrame:
-    """The rows (node, centre) of `pairs` whose sets of shingles have a Jaccard similarity of `least` or more."""
-    ends = pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node"))).distinct()
-    sets = materialize(_shingle_sets(nodes.join(ends, "node"), docs, words, doc, text), "shingles")
-    others = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("others"))
-    both = F.size(F.array_intersect("shingles", "others"))
-    all_of = F.size("shingles") + F.size("others") - both
-    return pairs.join(sets, "node").join(others, "centre").filter(both >= all_of * least).select("node", "centre")
-
-
-def near_classes(
-    docs: DataFrame,
-    words: int = 5,
-    tables: int = TABLES,
-    key_bits: int = KEY_BITS,
-    most_apart: int = MOST_APART,
-    hold: int = HOLD,
-    similarity: float = SIMILARITY,
-    doc: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """(doc_id, component_id): classes of documents linked by a similarity of `similarity` or more.
-
-    Fingerprints of 256 bits over the distinct shingles of `words` words. At 0.8, balls of a useful radius
-    around long segments would be too large, so there are many short segments instead, each
-    `key_bits` seeded positions, with balls of radius 0: a pair that differs in 39 bits meets in one of
-    200 segments with a chance of 0.9996. All members of a bucket are held against each other. A bucket
-    of more than `hold` is first split by finer positions of its segment until its parts hold no more,
-    in TURNS orders of these positions, so keys grow with the corpus and with its families. A pair
-    that differs in up to `most_apart` bits links if its sets of shingles are similar enough.
-
-    Plain copies are found first: by a few tables, each member of a bucket against one of them, and
-    the nearest such partner of each node. Only pairs of different classes are made afterwards.
-    Nulls, repeats and empty tables as in `duplicate_classes`.
-    """
-    rows = materialize(fingerprints(docs, words, LANES, doc, text, once=True).select("doc_id", "fp"), "fingerprints")
-    nodes = materialize(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("fp")), "nodes"
-    )
-    prints = nodes.select("node", "fp")
-    schema = "node long, class long, key long"
-
-    def near(pairs, name):
-        """Pairs (node, centre) of fingerprints that are near enough for a comparison."""
-        both = pairs.join(prints, "node").join(prints.select(F.col("node").alias("centre"), F.col("fp").alias("other")), "centre")
-        apart = _distance(F.col("fp"), F.col("other"))
-        return materialize(both.select("node", "centre", apart.alias("apart")).filter(F.col("apart") <= most_apart), name)
-
-    ends = lambda links: links.select(F.col("node").alias("a"), F.col("centre").alias("b"))
-    compared = lambda links: _similar(links, nodes, docs, words, similarity, doc, text)
-    few = max(1, tables // FIRST)
-    finer = _finer_bits(few, key_bits)
-    keyed = nodes.select("node", F.col("node").alias("class"), "fp").mapInArrow(
-        _segment_rows(64 * LANES, few, key_bits, SEED), schema
-    )
-    keyed = keyed.select("node", F.shiftright("key", finer).alias("key"))
-    # the node nearest to a drawn number, by xor: few numbers, so a large family has few centres
-    turn = F.xxhash64(F.pmod(F.shiftright("key", key_bits), F.lit(ORDERS)))
-    centres = keyed.groupBy("key").agg(
-        F.min(F.col("node").bitwiseXOR(turn)).alias("least"), F.count(F.lit(1)).alias("n")
-    )
-    centres = centres.filter("n > 1").select("key", F.col("least").bitwiseXOR(turn).alias("centre"))
-    pairs = keyed.join(centres, "key").filter("node <> centre")
-    pairs = pairs.select(F.greatest("node", "centre").alias("node"), F.least("node", "centre").alias("centre")).distinct()
-    best = near(pairs, "near").groupBy("node").agg(F.min(F.struct("apart", "centre")).alias("best"))
-    best = materialize(best.select("node", "best.centre"), "nearest")
-    roots = materialize(components(materialize(ends(compared(best)), "first-links")), "first-roots")
-
-    finer = _finer_bits(tables, key_bits)
-    member = F.when(F.col("root") != F.col("node"), F.col("root"))  # null where it is the node itself
-    keyed = nodes.join(roots, "node", "left").select("node", member.alias("class"), "fp").mapInArrow(
-        _segment_rows(64 * LANES, tables, key_bits, SEED), schema
-    )
-    keyed = keyed.repartition(F.shiftright("key", finer)).sortWithinPartitions("key")
-    pairs = keyed.mapInArrow(_pairs_of_buckets(finer, hold), "node long, centre long").distinct()
-    later = materialize(ends(compared(near(pairs, "bounded"))), "later-links")
-    # classes are enough as ends of the links found now
-    roots = components(later.unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    placed = nodes.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
-    names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "component_id")
-
-
-def one_of_each(docs: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its class, with the same columns.
+def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its class by `duplicate_classes`, with the same columns.
 
     Rows that share an id are one document and stay or go together; a null id stays.
     """
-    classes = near_classes(docs, doc=doc, **options)
+    classes = duplicate_classes(docs, doc=doc, text=text, **options)
     # the smallest class of an id decides, should rows of one id have different texts
     gone = classes.groupBy("doc_id").agg(F.min("component_id").alias("to")).filter("to < doc_id")
     gone = gone.select(F.col("doc_id").alias("__near_id"))

@@ -3,7 +3,9 @@ import random
 import pytest
 
 import corpus_pipeline as cp
+from recordloom.llm import simhash
 
+PRINT = lambda words: simhash.fingerprint(simhash.shingle_hashes(" ".join(words).encode().split(), 3))
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, copies int"
 
 
@@ -28,8 +30,11 @@ def folder(spark, tmp_path_factory):
         if n % 10 == 0:
             add(" ".join(w), "copy")
         if n % 10 == 1:
-            w[rnd.randrange(len(w))] = "other"
-            add(" ".join(w), "near")
+            near = list(w)
+            while near == w or ((PRINT(near) ^ PRINT(w)) & (1 << 64) - 1).bit_count() > 3:
+                near = list(w)
+                near[rnd.randrange(len(w))] = f"other{rnd.randrange(99)}"
+            add(" ".join(near), "near")
         if n % 10 == 2:
             add(" ".join(words(40) + items[n % 5][1].upper().split()[3:20] + words(40)), "leak")
         if n % 10 in (3, 4):
