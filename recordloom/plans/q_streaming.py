@@ -11,6 +11,10 @@ from .registry import query, table
 
 EVENT_TEMPLATE = "{{ event_type | upper }} by {{ user_id }}{% if event_type == 'error' %} (retry){% endif %}"
 
+DELAY = "30 days"  # a hash leaves the state when the stream's time is so far beyond it
+# nothing renders for views
+SOME_EVENTS = "{% if event_type == 'view' %}{% else %}{{ event_type | upper }} by {{ user_id }}{% endif %}"
+
 
 @query(
     "stream_generate",
@@ -21,12 +25,34 @@ EVENT_TEMPLATE = "{{ event_type | upper }} by {{ user_id }}{% if event_type == '
 def stream_generate(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     stream = streams.read_parquet_stream(spark, sf_dir, schema, "events.parquet")
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
-    unique = streams.render_stream(stream, EVENT_TEMPLATE, "event_id")
+    unique = streams.render_stream(stream, EVENT_TEMPLATE, "event_id", ("ts", DELAY))
     streams.write_unique(unique, out, state).awaitTermination()
     return spark.read.schema("md5 string, text string").parquet(out)
 
 
+@query(
+    "stream_outcomes",
+    """
+    SELECT day, n_rows, n_rejected, n_texts, n_rows - n_rejected - n_texts AS n_repeated FROM (
+      SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_rows,
+        count(*) FILTER (WHERE event_type = 'view') AS n_rejected,
+        count(DISTINCT event_type || user_id) FILTER (WHERE event_type <> 'view') AS n_texts
+      FROM events GROUP BY day)""",
+)
+def stream_outcomes(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    stream = streams.read_parquet_stream(spark, sf_dir, schema, "events.parquet")
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+    streams.write_changes(streams.outcome_stream(stream, SOME_EVENTS, "ts", DELAY), out, state).awaitTermination()
+    report = streams.outcome_report(spark, out)
+    return report.select(
+        F.date_format("start", "yyyy-MM-dd").alias("day"), "n_rows", "n_rejected", "n_texts", "n_repeated"
+    )
+
+
 @query(
     "stream_lines",
     """

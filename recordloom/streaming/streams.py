@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -71,6 +71,60 @@ def write_unique(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         )
 
 
+def outcome_stream(stream: DataFrame, template: str, time: str, delay: str, width: str = "1 day") -> DataFrame:
+    """Rows per window of time and text hash, as (start, md5, n); the hash is null where nothing renders.
+
+    Counted map-side, so a text shared by a third of the rows is one row per task. A window leaves
+    the state once the watermark (`delay` behind the latest time) has passed its end; rows
+    that come later still, and rows without a time, are not counted.
+    """
+    text = template_column(template, stream.schema)
+    rendered = stream.withWatermark(time, delay).select(F.col(time), text.alias("text"))
+    mark = F.when(F.col("text") != "", F.md5(F.col("text").cast("binary")))
+    return (
+        rendered.groupBy(F.window(time, width).alias("window"), mark.alias("md5"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("window.start").alias("start"), "md5", "n")
+    )
+
+
+def write_changes(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the counts that each batch changed below `path`, one folder per batch, then stop.
+
+    A batch that is repeated after a failure replaces its own folder, so nothing counts twice.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    with _disk_state(counts):
+        return (
+            counts.writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(save)
+            .start()
+        )
+
+
+def outcome_report(spark: SparkSession, path: str) -> DataFrame:
+    """(start, n_rows, n_rejected, n_texts, n_repeated) per window, from what `write_changes` wrote.
+
+    Of each (window, hash) the count of its last batch holds. Rejected rows rendered to nothing,
+    repeated ones to a text their window had already.
+    """
+    schema = "start timestamp, md5 string, n long, batch_id long"
+    changes = spark.read.schema(schema).parquet(path)
+    latest = changes.groupBy("start", "md5").agg(F.max_by("n", "batch_id").alias("n"))
+    kept = F.col("md5").isNotNull()
+    totals = latest.groupBy("start").agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(~kept, F.col("n"))), F.lit(0)).alias("n_rejected"),
+        F.count("md5").alias("n_texts"),
+    )
+    return totals.withColumn("n_repeated", F.col("n_rows") - F.col("n_rejected") - F.col("n_texts"))
+
+
 def count_stream(lines: DataFrame, token: str, column: str = "value") -> DataFrame:
     """Running total of lines and of lines with `token`; counted map-side per batch."""
     return lines.groupBy().agg(

@@ -45,3 +45,27 @@ def test_running_line_totals(spark, tmp_path):
         lines = spark.readStream.option("lineSep", "\n").text(str(source))
         streams.write_totals(streams.count_stream(lines, "ERROR"), out, state).awaitTermination()
         assert rows(spark.read.parquet(out).select("n_lines", "n_matching")) == [want]
+
+
+def test_outcomes_are_counted_across_restarts_and_leave_the_state(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    template = "{% if kind == 'bad' %}{% else %}{{ kind }}{% endif %}"
+
+    def run(data):
+        _write(spark, source, data)
+        counts = streams.outcome_stream(_stream(spark, source), template, "ts", "1 hour")
+        query = streams.write_changes(counts, out, state)
+        query.awaitTermination()
+        report = streams.outcome_report(spark, out).orderBy("start").drop("start")
+        left = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1]
+        return [tuple(r) for r in report.collect()], left
+
+    day = "2024-01-01 10:00:00"
+    report, left = run([(i, day, ["a", "b", "bad", "a"][i % 4]) for i in range(400)] + [(900, None, "a")])
+    assert report == [(400, 100, 2, 298)] and left == 3
+    report, left = run([(1, "2024-01-01 11:00:00", "a"), (2, "2024-01-01 12:00:00", "c"), (3, "2024-01-01 12:00:00", "bad")])
+    assert report == [(403, 101, 3, 299)] and left == 4
+    report, left = run([(4, "2024-01-05 00:00:00", "a")])
+    assert report == [(403, 101, 3, 299), (1, 0, 1, 0)]
+    report, left = run([(5, "2024-01-01 10:00:00", "late"), (6, "2024-01-05 01:00:00", "a")])
+    assert report == [(403, 101, 3, 299), (2, 0, 1, 1)] and left == 1
