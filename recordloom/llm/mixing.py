@@ -12,11 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scale import global_index, materialize
+from ..scale import global_index, materialize, running
 
 WEIGHTS = (3, 1, 2)
 BLOCK_ROWS = 50_000  # documents of one source that one task pairs
 FAN_IN = 1_000  # left-over fractions that one task pairs
+SPAN = 10_000  # rows of a repeated document that are numbered together
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -129,11 +130,13 @@ def mix_counts(
     block_rows: int = BLOCK_ROWS,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
-    """(doc_id, source, size, n_rows, source_size, target, copies) per distinct document.
+    """(doc_id, source, size, n_rows, source_size, target, copies, n_more) per distinct document.
 
-    A document is (doc_id, source, size); rows that repeat it (`n_rows`) get the same number
-    of copies, at most `most` rounded up. A source's words in the mix differ from its target
-    by less than its largest document. Null text has size 0 and a document without words no
+    A document is (doc_id, source, size); of the rows that repeat it (`n_rows`), `n_more` get one copy
+    more than the `copies` that each gets, which makes at most `most` rounded up. The fractions of equal
+    rows settle among themselves, as in any pairing of equal masses, so that one fraction of
+    one row is left for the pairing with others. A source's words in the mix differ from its target by
+    less than its largest document. Null text has size 0 and a document without words no
     copies; null ids and sources count as values. Runs agree whatever the partitions. An
     empty table gives no rows.
     """
@@ -153,32 +156,38 @@ def mix_counts(
     joined = units.join(targets, same).select(
         "doc_id", "source", "size", "n_rows", "rank", "source_size", "target",
         F.floor(wanted).alias("whole"),
-        (wanted - F.floor(wanted)).alias("p"),
-        mass.cast("double").alias("mass"),
+        ((wanted - F.floor(wanted)) * F.col("n_rows")).alias("more"),
+        F.col("size").cast("double").alias("mass"),
         F.xxhash64("doc_id", "source", "size").alias("order"),
     )
+    joined = joined.withColumn("settled_rows", F.floor("more")).withColumn("p", F.col("more") - F.col("settled_rows")).drop("more")
     numbered = joined.withColumn("node", F.pmod("order", F.lit(blocks)).cast("long"))
     done = _settled(numbered, seed, blocks, fan_in)
     return done.select(
         "doc_id", "source", "size", "n_rows", "source_size", "target",
-        (F.col("whole") + F.col("p")).cast("long").alias("copies"),
+        F.col("whole").cast("long").alias("copies"),
+        (F.col("settled_rows") + F.col("p")).cast("long").alias("n_more"),
     )
 
 
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken), one row per input row; see `mix_counts`."""
     counts = mix_counts(docs, **options)
-    each = counts.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
-    return each.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
-    )
+    step = F.lit(SPAN).cast("long")
+    # numbers of the rows of a document in spans, so that no array is as long as its repeats
+    spans = counts.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rows") - 1, step)))
+    last = F.least(F.col("first") + step, F.col("n_rows")) - 1
+    each = spans.withColumn("row", F.explode(F.sequence("first", last)))
+    taken = F.col("size") * (F.col("copies") + (F.col("row") < F.col("n_more")).cast("long"))
+    return each.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with the same columns."""
-    counts = mix_counts(docs, text=text, **options).select(
-        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"),
-        F.col("size").alias("__mix_size"), "copies",
+    counts = materialize(mix_counts(docs, text=text, **options).filter("copies + n_more > 0"), "mix-counts")
+    counts = counts.select(
+        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"),
+        F.col("n_rows").alias("__mix_rows"), F.col("copies").alias("__mix_copies"), F.col("n_more").alias("__mix_more"),
     )
     doc, source = options.get("doc", "doc_id"), options.get("source", "source")
     same = (
@@ -186,6 +195,23 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
         & F.col(source).eqNullSafe(F.col("__mix_source"))
         & (word_count(F.col(text)) == F.col("__mix_size"))
     )
-    taken = docs.join(counts.filter("copies > 0").withColumnRenamed("copies", "__mix_copies"), same)
-    again = F.explode(F.sequence(F.lit(1).cast("long"), "__mix_copies")).alias("__mix_copy")
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], again).select(*[f"`{c}`" for c in docs.columns])
+    some = (F.col("__mix_more") > 0) & (F.col("__mix_more") < F.col("__mix_rows"))
+    more = (F.col("__mix_more") > 0).cast("long")
+    taken = docs.join(counts.filter(~some), same).withColumn("__mix_times", F.col("__mix_copies") + more)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    uneven = counts.filter(some)
+    if not uneven.isEmpty():
+        # equal documents of which only some get a copy more: the first by their content, equal rows by place
+        content = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+        rows = materialize(
+            docs.join(uneven, same).withColumn("__mix_content", content).withColumn("__mix_place", F.monotonically_increasing_id()),
+            "uneven",
+        )
+        keys, order = ["__mix_id", "__mix_source", "__mix_size"], ["__mix_content", "__mix_place"]
+        placed = running(rows, keys, [F.col(c) for c in order], {"__mix_before": ("sum", F.lit(1).cast("long"))})
+        placed = placed.withColumn(
+            "__mix_times", F.col("__mix_copies") + (F.col("__mix_before") < F.col("__mix_more")).cast("long")
+        ).filter("__mix_times > 0")
+        taken = taken.select(*columns, "__mix_times").unionAll(placed.select(*columns, "__mix_times"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), "__mix_times")).alias("__mix_copy")
+    return taken.select(*columns, again).select(*[f"`{c}`" for c in docs.columns])
