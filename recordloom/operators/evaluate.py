@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -145,25 +146,46 @@ def _normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2.0))
 
 
+@lru_cache(maxsize=None)
+def _part_numerator(a: int) -> tuple[int, list[int]]:
+    """(L, N) with 1 / ((1-x)(1-x)(1-x^2)...(1-x^a)) = N(x) / (1-x^L)^(a+1), L = lcm(1..a)."""
+    cycle = math.lcm(*range(1, a + 1))
+    n = [1] + [0] * ((a + 1) * cycle - 1)
+    for i in (1, *range(1, a + 1)):
+        for v in range(i, len(n)):
+            n[v] += n[v - i]
+        for v in range(len(n) - 1, cycle - 1, -1):
+            n[v] -= n[v - cycle]
+    return cycle, n
+
+
 def _exact_u_tail(u: float, n_a: int, n_b: int) -> float:
-    """P(U >= u) without ties: count the orderings by their U.
+    """P(U >= u) without ties: the orderings with such a U over all orderings.
 
-    The counts are the coefficients of the product of (1 - x^(b+i)) / (1 - x^i) over
-    i = 1..a, so a factor costs one pass over the a * b + 1 possible values.
+    By symmetry these are the orderings with U <= m = a * b - ceil(u). Orderings by U are the
+    coefficients of the product of (1 - x^(b+i)) / (1 - x^i) over i = 1..a, so their running
+    sum takes the terms of the numerator, at most 2^a, times a coefficient of a fixed series,
+    which is a sum of a + 1 binomials. Whole numbers all along; the time depends on the
+    smaller group alone, which has at most EXACT_VALUES values.
     """
     a, b = min(n_a, n_b), max(n_a, n_b)
-    top = a * b
-    counts = [1] + [0] * top
+    m = a * b - math.ceil(u)
+    if m < 0:
+        return 0.0
+    cycle, numerator = _part_numerator(a)
+
+    def up_to(v: int) -> int:
+        return sum(
+            numerator[j] * math.comb((v - j) // cycle + a, a)
+            for j in range(v % cycle, min(v + 1, len(numerator)), cycle)
+        )
+
+    terms = {0: 1}
     for i in range(1, a + 1):
-        for v in range(i, top + 1):
-            counts[v] += counts[v - i]
-        for v in range(top, b + i - 1, -1):
-            counts[v] -= counts[v - b - i]
-    # the distribution is symmetric: sum the shorter side
-    start = math.ceil(u)
-    if 2 * start > top:
-        return sum(counts[start:]) / math.comb(a + b, a)
-    return 1.0 - sum(counts[:start]) / math.comb(a + b, a)
+        for v, sign in list(terms.items()):
+            if v + b + i <= m:
+                terms[v + b + i] = terms.get(v + b + i, 0) - sign
+    return min(1.0, sum(sign * up_to(m - v) for v, sign in terms.items()) / math.comb(a + b, a))
 
 
 def _t_tail(t: float, df: float) -> float:

@@ -64,6 +64,36 @@ def test_mann_whitney_small_groups_are_exact(spark, limit):
     assert got["u"] == _u(x, y) and got["p_value"] == pytest.approx(tail)
 
 
+def _u_counts(a, b):
+    """Orderings of a and b values by U, one factor of the generating function at a time."""
+    top = a * b
+    counts = [1] + [0] * top
+    for i in range(1, a + 1):
+        for v in range(i, top + 1):
+            counts[v] += counts[v - i]
+        for v in range(top, b + i - 1, -1):
+            counts[v] -= counts[v - b - i]
+    return counts
+
+
+@pytest.mark.parametrize("a, b", [(1, 1), (1, 9), (2, 3), (3, 40), (5, 5), (7, 130), (8, 8), (8, 200)])
+def test_exact_u_tail_at_every_value(a, b):
+    counts, total = _u_counts(a, b), math.comb(a + b, a)
+    for u in range(-1, a * b + 2):
+        assert e._exact_u_tail(float(u), b, a) == sum(counts[max(u, 0) :]) / total
+    assert e._exact_u_tail(0.5, a, b) == e._exact_u_tail(1.0, a, b)
+
+
+def test_exact_u_tail_is_bounded_on_the_large_side():
+    began = time.perf_counter()
+    b = 10_000_000
+    for u in (0, 4 * b, 5 * b, 8 * b - 3):
+        z = (u - 4 * b) / math.sqrt(8 * b * (b + 9) / 12)
+        assert e._exact_u_tail(float(u), 8, b) == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), abs=5e-3)
+    assert e._exact_u_tail(8.0 * b - 3, 8, b) == 7 / math.comb(b + 8, 8)  # 1 + 1 + 2 + 3 partitions
+    assert time.perf_counter() - began < 1.0
+
+
 def test_mann_whitney_with_ties_uses_the_normal_tail(spark):
     x, y = [1.0, 2.0, 2.0, 3.0, 5.0], [1.0, 1.0, 2.0, 4.0]
     df = spark.createDataFrame([("a", v) for v in x] + [("b", v) for v in y], "g string, v double")
