@@ -299,10 +299,15 @@ def validate(
 # --------------------------------------------------------------------- reports
 
 
+# How a message begins that tells of an exception, not of a finding.
+UNEXPECTED = "Unexpected error: "
+
+
 def classify_error(col: Column) -> Column:
     low = F.lower(col)
     return (
-        F.when(F.contains(col, F.lit("F821")) | F.contains(low, F.lit("undefined")), "F821_undefined")
+        F.when(F.startswith(col, F.lit(UNEXPECTED)), "exception")
+        .when(F.contains(col, F.lit("F821")) | F.contains(low, F.lit("undefined")), "F821_undefined")
         .when(F.contains(col, F.lit("Syntax")), "syntax")
         .when(F.contains(col, F.lit("Linter")), "linter")
         .when(F.contains(low, F.lit("execution")), "execution")

@@ -13,6 +13,8 @@ UNK_ID, PAD_ID, FIRST_ID = 0, 1, 2
 # The broadcast part of a vocabulary: at most this many terms of this length.
 HEAD_TERMS = 500_000
 HEAD_LENGTH = 64
+# Terms outside that part are hot from a share of 1 / HOT_TERMS on; their number is bounded by it.
+HOT_TERMS = 1000
 
 LEVELS = {"DEBUG": 10, "INFO": 20, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
 
@@ -64,7 +66,8 @@ def encode(tokens: DataFrame, vocab: DataFrame, head_terms: int = HEAD_TERMS) ->
 
     Ids follow frequency, so the first `head_terms` ids are the frequent terms: they
     are broadcast (bounded count and length) and need no shuffle. Only tokens outside
-    them, all rare, are joined by shuffle with the rest of the vocabulary.
+    them are joined by shuffle with the rest of the vocabulary, without the hot ones among
+    them (unknown terms above all), which a second small broadcast settles.
     """
     words = vocab.filter(F.col("id") >= FIRST_ID).select("term", "id")
     in_head = (F.col("id") < FIRST_ID + head_terms) & (F.length("term") <= HEAD_LENGTH)
@@ -74,8 +77,28 @@ def encode(tokens: DataFrame, vocab: DataFrame, head_terms: int = HEAD_TERMS) ->
     if tail.isEmpty():
         return tokens.join(head, "term", "left").select(*others, token_id)
     common = tokens.join(head, "term").select(*others, F.col("id").alias("token_id"))
-    rare = tokens.join(head.select("term"), "term", "left_anti")
-    return common.unionAll(rare.join(tail, "term", "left").select(*others, token_id))
+    rare = tokens.join(head.select("term"), "term", "left_anti").withColumn("_digest", F.md5("term"))
+    hot = hot_digests(rare)
+    ids = tail.withColumn("_digest", F.md5("term")).join(F.broadcast(hot), "_digest").select("_digest", "id")
+    settled = F.broadcast(materialize(hot.join(ids, "_digest", "left"), "hot-terms"))
+    frequent = rare.join(settled, "_digest").select(*others, token_id)
+    cold = rare.join(F.broadcast(hot), "_digest", "left_anti").drop("_digest")
+    return common.unionAll(frequent).unionAll(cold.join(tail, "term", "left").select(*others, token_id))
+
+
+def hot_digests(rows: DataFrame, items: int = HOT_TERMS) -> DataFrame:
+    """(_digest): all values with more than 1 / `items` of the rows, at most 2 * `items` in all.
+
+    One pass with a frequency sketch of fixed size per task. Tracking 8 * `items` values it
+    overrates one by less than a quarter of that share and never underrates, so none is
+    missed; a few just below the share may come along, which does no harm.
+    """
+    found = rows.agg(
+        F.count("_digest").alias("n"), F.expr(f"approx_top_k(_digest, {2 * items}, {8 * items})").alias("top")
+    )
+    share = F.col("top")["count"] * F.lit(items) > F.col("n")
+    hot = found.select("n", F.explode("top").alias("top")).filter(share).select(F.col("top.item").alias("_digest"))
+    return materialize(hot, "hot-digests")
 
 
 def corpus_metadata(

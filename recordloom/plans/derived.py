@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.template import VALUE
 from ..operators.catalog import check_catalog
-from ..sources.catalog import COMPONENTS, PARAM, parse_catalog
+from ..scale import scratch_path
+from ..sources.catalog import COMPONENTS, PARAM, parse_catalog, read_catalog_files
 from .registry import spread_table
 
 BODY = (
@@ -159,3 +160,52 @@ YAML_ERRORS_SQL = (
     "WHEN 4 THEN 'either components or template is required' "
     "WHEN 5 THEN 'metadata.tags is missing|metadata.tags must be list' ELSE '' END)"
 )
+
+
+def supplier_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(nation, file, yaml_text): a pattern file per supplier; its key decides what stops it."""
+    rows = spread_table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    m = F.col("s_suppkey") % 10
+    code = (
+        F.when(m == 3, "  x = {{ kind | nosuch }}")
+        .when(m == 4, "  x = 1\n  def broken(:")
+        .when(m == 5, "  from math import *\n  from cmath import *\n  x = {{ n }}")
+        .otherwise("  def f_{{ kind }}(x):\n      return x + {{ n }}")
+    )
+    lines = F.concat_ws(
+        "\n",
+        F.lit('format_version: "1.0"'),
+        F.concat(F.lit("pattern_id: supplier."), key),
+        F.lit("metadata:\n  author: us"),
+        F.concat(F.lit("  description: About "), F.col("s_name")),
+        F.lit("  tags: [supplier]\n  pedagogy: {concept: parts, difficulty: easy}"),
+        F.when(m != 2, F.lit("instruction: Write f_{{ kind }}.")),
+        F.when(m != 6, F.concat(F.lit("template: |\n"), code)),
+        F.lit("parameters:\n  kind: {type: string, description: d, default: a}"),
+        F.concat(F.lit("  n: {type: int, description: d, default: "), key, F.lit("}")),
+    )
+    text = F.when(m == 0, F.lit("- only\n- a list")).when(m == 1, F.lit("a: [unclosed")).otherwise(lines)
+    return rows.select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("file"), text.alias("yaml_text"))
+
+
+def supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, yaml_text) of the same patterns, written as one file each and found again by a scan."""
+    path = scratch_path(spark, "patterns")
+    supplier_yaml(spark, sf_dir).write.partitionBy("nation", "file").text(path)
+    found = read_catalog_files(spark, path, "*.txt")
+    return found.withColumn("path", F.regexp_replace("path", "/[^/]*$", ""))
+
+
+SUPPLIER_SQL = """
+SELECT 'nation=' || s_nationkey || '/file=' || s_suppkey AS path,
+  CASE WHEN s_suppkey % 10 > 1 THEN 'supplier.' || s_suppkey END AS pattern_id,
+  CASE s_suppkey % 10 WHEN 0 THEN 'skipped' WHEN 1 THEN 'error' ELSE 'parsed' END AS load_status,
+  CASE s_suppkey % 10 WHEN 1 THEN 'load' WHEN 2 THEN 'schema' WHEN 3 THEN 'render' WHEN 4 THEN 'code'
+    WHEN 5 THEN 'code' WHEN 6 THEN 'schema' END AS stage,
+  CASE s_suppkey % 10 WHEN 1 THEN ['Unexpected error: ParserError'] WHEN 2 THEN ['instruction is missing']
+    WHEN 3 THEN ['Generation failed: unsupported filter: nosuch']
+    WHEN 4 THEN ['Syntax error on line 2: invalid syntax']
+    WHEN 5 THEN ['Linter ({code} at L1:17): {message}', 'Linter ({code} at L2:18): {message}']
+    WHEN 6 THEN ['either components or template is required'] ELSE [] END AS errors
+FROM supplier"""

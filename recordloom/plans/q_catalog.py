@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.catalog import catalog_listing, load_stats, normalize_catalog
+from ..operators.quality import STAR_CODE, STAR_MESSAGE, error_breakdown, summary_counts
+from ..operators.report import report_parts, validate_files
 from ..sources.catalog import parse_catalog
 from .derived import (
+    SUPPLIER_SQL,
     YAML_ERRORS_SQL,
     YAML_PATH_SQL,
     YAML_STATUS_SQL,
     checked_part_yaml,
     part_yaml,
+    supplier_files,
 )
 from .registry import query
 
@@ -83,3 +87,64 @@ def list_catalog_markdown(spark, sf_dir):
 )
 def stats(spark, sf_dir):
     return load_stats(checked_part_yaml(spark, sf_dir))
+
+
+_SUPPLIER = SUPPLIER_SQL.replace("{code}", STAR_CODE).replace("{message}", STAR_MESSAGE)
+_STATUS = "CASE WHEN load_status = 'skipped' THEN 'skipped' WHEN stage IS NULL THEN 'passed' ELSE 'failed' END"
+
+
+@query(
+    "scan_catalog_files",
+    f"""
+    SELECT path, load_status AS status, pattern_id,
+      CASE WHEN load_status = 'error' THEN 'ParserError' END AS error
+    FROM ({_SUPPLIER})""",
+)
+def scan_catalog_files(spark, sf_dir):
+    return parse_catalog(supplier_files(spark, sf_dir)).select("path", "status", "pattern_id", "error")
+
+
+@query(
+    "validate_catalog",
+    f"""
+    SELECT path, pattern_id, {_STATUS} AS status, stage, array_to_string(errors, '|') AS errors
+    FROM ({_SUPPLIER})""",
+)
+def validate_catalog(spark, sf_dir):
+    report = validate_files(supplier_files(spark, sf_dir))
+    return report.withColumn("errors", F.array_join("errors", "|"))
+
+
+@query(
+    "validate_catalog_parts",
+    f"""
+    SELECT {_STATUS} AS status, stage, count(*) AS n_files, sum(len(errors))::BIGINT AS n_errors
+    FROM ({_SUPPLIER}) GROUP BY 1, 2""",
+)
+def validate_catalog_parts(spark, sf_dir):
+    return report_parts(validate_files(supplier_files(spark, sf_dir)))
+
+
+@query(
+    "validate_catalog_summary",
+    f"""
+    SELECT total, passed, total - passed AS failed, round(100.0 * passed / total, 1)::DOUBLE AS passed_pct,
+      round(100.0 * (total - passed) / total, 1)::DOUBLE AS failed_pct
+    FROM (SELECT count(*) AS total, count(*) FILTER (WHERE stage IS NULL) AS passed
+      FROM ({_SUPPLIER}) WHERE load_status <> 'skipped')""",
+)
+def validate_catalog_summary(spark, sf_dir):
+    report = validate_files(supplier_files(spark, sf_dir))
+    return summary_counts(report.filter(F.col("status") != "skipped"))
+
+
+@query(
+    "validate_catalog_errors",
+    f"""
+    SELECT CASE stage WHEN 'load' THEN 'exception' ELSE if(contains(e, 'Syntax'), 'syntax', 'linter') END AS error_type,
+      count(*) AS n
+    FROM (SELECT stage, unnest(errors) AS e FROM ({_SUPPLIER})) WHERE stage IN ('load', 'code') GROUP BY 1""",
+)
+def validate_catalog_errors(spark, sf_dir):
+    report = validate_files(supplier_files(spark, sf_dir))
+    return error_breakdown(report.filter(F.col("stage").isin("load", "code")))

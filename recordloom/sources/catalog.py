@@ -159,11 +159,11 @@ def parse_catalog(files: DataFrame) -> DataFrame:
     )
 
 
-def read_catalog_files(spark: SparkSession, path: str) -> DataFrame:
-    """Whole YAML texts below `path`, with the path relative to it."""
+def read_catalog_files(spark: SparkSession, path: str, names: str = "*.{yaml,yml}") -> DataFrame:
+    """Whole texts of the files below `path` whose name fits, with the path relative to it."""
     files = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{yaml,yml}")
+        .option("pathGlobFilter", names)
         .text(path, wholetext=True)
     )
     root = path.rstrip("/") + "/"

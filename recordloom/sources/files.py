@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,44 +92,58 @@ def _uri(path: str) -> str:
     return path.replace("file:/", "file:///", 1) if path.startswith("file:/") else path
 
 
+_MARK = "_fixed_records"  # tells a folder written by `write_fixed` from any other
+
+
 def write_fixed(df: DataFrame, column: str, dtype: str, path: str) -> int:
-    """Numeric arrays as packed little-endian records, one file per task.
+    """Numeric arrays as packed little-endian records, one file per task; returns their number.
 
-    A task writes under a temporary name and moves the complete file in place, so a
-    repeated task replaces its own file only. Parts that an earlier write with more tasks
-    left in the folder are removed when all tasks are done. Returns the number of records.
+    Tasks write into a new folder beside the target, each attempt under its own name; once
+    all are done that folder takes the target's place by one rename, so readers see all
+    records or none. A target that an earlier call wrote is replaced; one that holds files
+    of anybody else is an error and stays as it is.
     """
     from pyarrow import fs
 
     code = _NUMPY[dtype]
     uri = _uri(path) if ":" in path else f"file://{path}"
-    store, folder = fs.FileSystem.from_uri(uri)
+    store, folder = fs.FileSystem.from_uri(uri.rstrip("/"))
+    there = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+    names = {f.base_name for f in there}
+    foreign = {n for n in names if n != _MARK and not n.startswith("part-")}
+    if foreign or (names and _MARK not in names):
+        raise FileExistsError(f"{path} holds files that this write may not replace")
+    above, _, last = folder.rpartition("/")
+    stage = f"{above}/_{last}-{uuid.uuid4().hex}"
+    stage_uri = f"{uri.rstrip('/').rpartition('/')[0]}/{stage.rpartition('/')[2]}"
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        store, folder = fs.FileSystem.from_uri(uri)
+        store, folder = fs.FileSystem.from_uri(stage_uri)
         store.create_dir(folder, recursive=True)
-        part = f"part-{ctx.partitionId():05d}"
-        hidden = f"{folder}/_{part}-{ctx.taskAttemptId()}"
+        part = f"part-{ctx.partitionId():05d}-{ctx.taskAttemptId()}"
         n = 0
-        with store.open_output_stream(hidden) as out:
+        with store.open_output_stream(f"{folder}/{part}") as out:
             for pdf in batches:
                 if len(pdf):
                     out.write(np.concatenate(pdf[column].to_list()).astype(code).tobytes())
                 n += len(pdf)
-        if store.get_file_info(f"{folder}/{part}").type != fs.FileType.NotFound:
-            store.delete_file(f"{folder}/{part}")  # left by an earlier run of this task
-        store.move(hidden, f"{folder}/{part}")
         yield pd.DataFrame({"part": [part], "n": [n]})
 
     written = df.select(column).mapInPandas(write, "part string, n long").collect()  # a row per task
     parts = {r["part"] for r in written}
-    for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-        if f.base_name.startswith("part-") and f.base_name not in parts:
+    store.create_dir(stage, recursive=True)
+    for f in store.get_file_info(fs.FileSelector(stage)):
+        if f.base_name not in parts:  # of an attempt that was repeated
             store.delete_file(f.path)
+    with store.open_output_stream(f"{stage}/{_MARK}"):
+        pass
+    if store.get_file_info(folder).type != fs.FileType.NotFound:
+        store.delete_dir(folder)
+    store.move(stage, folder)
     return sum(r["n"] for r in written)
 
 

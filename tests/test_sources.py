@@ -29,6 +29,27 @@ def test_fixed_round_trip_in_ranges(spark, tmp_path, dtype, monkeypatch):
     assert sorted(r["items"] for r in back.collect()) == sorted(r["v"] for r in df.collect())
 
 
+def test_fixed_writes_leave_files_of_others(spark, tmp_path):
+    df = spark.range(4).select(F.array("id").alias("v"))
+    for name in ("part-00000.parquet", "notes.txt"):
+        other = tmp_path / name.split(".")[1]
+        other.mkdir()
+        (other / name).write_text("kept")
+        with pytest.raises(FileExistsError):
+            files.write_fixed(df, "v", "bigint", str(other))
+        assert [f.name for f in other.iterdir()] == [name]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert files.write_fixed(df.limit(0), "v", "bigint", str(empty)) == 0
+    assert files.read_fixed(spark, str(empty), "bigint", 1).count() == 0
+    written = tmp_path / "own"
+    files.write_fixed(df, "v", "bigint", str(written))
+    (written / "added.txt").write_text("kept")
+    with pytest.raises(FileExistsError):
+        files.write_fixed(df, "v", "bigint", str(written))
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["empty", "own", "parquet", "txt"]  # no stage is left
+
+
 def test_csv(spark, tmp_path):
     schema = T.StructType([T.StructField("value", T.IntegerType()), T.StructField("name", T.StringType())])
     df = spark.createDataFrame([('a "q", b', 1), ("é", 2)], "name string, value int")

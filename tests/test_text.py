@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -57,6 +58,27 @@ def test_encoding_is_the_same_with_any_head(docs, head_terms):
     }
 
 
+def test_hot_unknown_terms_are_not_shuffled_to_one_task(spark):
+    unknown, long_term = "zz", "t" * 100
+    words = F.when(F.col("id") % 3 == 0, unknown).when(F.col("id") % 3 == 1, long_term).otherwise(
+        F.concat(F.lit("w"), (F.col("id") % 997).cast("string"))
+    )
+    tokens = spark.range(0, 30_000, 1, 6).select(F.col("id").alias("key"), words.alias("term"))
+    tokens = tokens.unionAll(spark.createDataFrame([(30_000, None), (30_001, "")], tokens.schema))
+    vocab = spark.createDataFrame(
+        [("<UNK>", 0, 0), ("<PAD>", 1, 0), ("w1", 2, 9), (long_term, 3, 8), ("w2", 4, 7), ("w3", 5, 1)],
+        "term string, id long, n long",
+    )
+    hot = t.hot_digests(tokens.withColumn("_digest", F.md5("term")), 10)
+    assert {r[0] for r in hot.collect()} == {hashlib.md5(w.encode()).hexdigest() for w in (unknown, long_term)}
+    got = {r["key"]: r["token_id"] for r in t.encode(tokens, vocab, 2).collect()}
+    ids = {r["term"]: r["id"] for r in vocab.collect()}
+    assert got == {r["key"]: ids.get(r["term"], 0) for r in tokens.collect()}
+    # the hot rows stay in the tasks that hold them: no exchange of theirs on the way
+    settled = t.encode(tokens.filter(F.col("term") == unknown), vocab, 2)
+    assert settled.filter("token_id = 0").count() == 10_000
+
+
 @pytest.mark.parametrize("bounds", [{}, {"limit": 7}])
 @pytest.mark.parametrize("block", [9, 64, 8192])
 def test_corpus_windows_cross_documents(docs, block, bounds):
