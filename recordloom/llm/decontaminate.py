@@ -2,7 +2,7 @@
 
 Each batch of documents is a shard: its words that can be part of a match are put into a
 suffix array, and every suffix of the benchmark items is binary-searched there. The
-benchmark is read in blocks of bounded size, each broadcast in turn.
+benchmark is broadcast in blocks of bounded size; a worker has one of them in memory at a time.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ _GAP = -1
 class ItemIndex:
     """The words, suffixes and windows of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, bytes]], window: int):
+    def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
         number = self.vocabulary
         words, self.starts, self.lengths, self.owners, self.rest = [], [], [], [], []
@@ -180,48 +180,55 @@ FOUND = T.StructType(
     [
         T.StructField("__bm_words", T.LongType()),
         T.StructField("__bm_spans", T.ArrayType(_SPAN)),
-        T.StructField("__bm_items", T.ArrayType(T.LongType())),
+        T.StructField("__bm_items", T.ArrayType(T.StringType())),
         T.StructField("__bm_longest", T.LongType()),
         T.StructField("__bm_start", T.LongType()),
-        T.StructField("__bm_item", T.LongType()),
+        T.StructField("__bm_item", T.StringType()),
     ]
 )
 _ARROW = [
     pa.int64(),
     pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])),
-    pa.list_(pa.int64()),
-    pa.int64(),
+    pa.list_(pa.string()),
     pa.int64(),
     pa.int64(),
+    pa.string(),
 ]
 SHARD_WORDS = 2_000_000  # words of documents in one suffix array
 
 
-def _scan(index, text: str, names: list[str]):
-    """A pass over batches that adds what one block of items finds to what is there."""
+def _scan(blocks: list, text: str, names: list[str]):
+    """One pass over batches that adds what all blocks of items find.
+
+    A shard of documents goes past one block after the other. With several blocks each is
+    read from the executor's disk when its turn comes and given up after it.
+    """
 
     def scan(batches):
         for batch in batches:
-            have = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in FOUND.names}
-            texts = utf8(batch.column(names.index(text)))
             out = {n: [] for n in FOUND.names}
-            row = 0
-            for documents in _shards(texts):
-                for words, (spans, items, best, start, item) in zip(documents, find_windows(index.value, documents)):
-                    old = {n: have[n][row] for n in FOUND.names}
-                    row += 1
-                    ids = {index.value.ids[i] for i in items}
-                    better = best > (old["__bm_longest"] or 0)
-                    out["__bm_words"].append(len(words))
-                    earlier = [(s["first"], s["end"]) for s in old["__bm_spans"] or []]
-                    out["__bm_spans"].append([{"first": a, "end": b} for a, b in merged(earlier + spans)])
-                    out["__bm_items"].append(sorted(ids | set(old["__bm_items"] or [])))
-                    out["__bm_longest"].append(best if better else old["__bm_longest"] or 0)
-                    out["__bm_start"].append(start if better else old["__bm_start"])
-                    out["__bm_item"].append(index.value.ids[item] if better else old["__bm_item"])
-            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in out]
+            for documents in _shards(utf8(batch.column(names.index(text)))):
+                spans, items = [[] for _ in documents], [set() for _ in documents]
+                best = [(0, None, None)] * len(documents)
+                for block in blocks:
+                    index = block.value
+                    for d, (hits, owners, length, start, owner) in enumerate(find_windows(index, documents)):
+                        if not owners:
+                            continue
+                        spans[d] = merged(spans[d] + hits)
+                        items[d].update(index.ids[i] for i in owners)
+                        if length > best[d][0]:
+                            best[d] = (length, start, index.ids[owner])
+                    if len(blocks) > 1:
+                        del index
+                        vars(block).pop("_value", None)  # the value that `block.value` would keep
+                out["__bm_words"] += [len(words) for words in documents]
+                out["__bm_spans"] += [[{"first": a, "end": b} for a, b in s] for s in spans]
+                out["__bm_items"] += [sorted(i) for i in items]
+                for name, column in zip(("__bm_longest", "__bm_start", "__bm_item"), zip(*best)):
+                    out[name] += column
             made = [pa.array(out[n], kind) for n, kind in zip(FOUND.names, _ARROW)]
-            yield pa.RecordBatch.from_arrays(kept + made, names=[*names, *FOUND.names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, *FOUND.names])
 
     return scan
 
@@ -248,27 +255,38 @@ def mark_matches(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """`docs` with the columns of `FOUND` behind its own.
+    """`docs` with the columns of `FOUND` behind its own, ids in the type of the benchmark's.
 
     Words, hit intervals (first word, end), ids of items with occurring windows, and the
-    longest verbatim match with its first word and item. Items are read in blocks of about
-    `block_bytes` of text, each collected and broadcast on its own, so the pass repeats per
-    block. Null text and null items have no words; items without an id are ignored; items that
-    repeat an id count once; an empty benchmark marks nothing. Rows that repeat are marked one by one.
+    longest verbatim match with its first word and item. Items are collected and broadcast in
+    blocks of about `block_bytes` of text; the documents are read once for all of them, and a
+    worker holds one block at a time. Null text and null items have no words; items without an
+    id are ignored; items that repeat an id count once; an empty benchmark marks nothing. Rows
+    that repeat are marked one by one.
     """
-    items = benchmark.select(F.col(item).cast("long").alias("id"), F.col(item_text).alias("words"))
+    items = benchmark.select(F.col(item).alias("id"), F.col(item_text).alias("words"))
     items = items.filter("id is not null and words is not null")
     total = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    blocks = 1 + total // block_bytes
+    n_blocks = 1 + total // block_bytes
     spark, names = docs.sparkSession, list(docs.columns)
-    block = F.pmod(F.xxhash64("id", "words"), F.lit(blocks))
-    empty = {f.name: F.lit(None).cast(f.dataType) for f in FOUND.fields}
-    out = docs.select(*[F.col(f"`{c}`") for c in names], *[c.alias(n) for n, c in empty.items()])
-    for b in range(blocks):
-        rows = sorted((r["id"], r["words"].encode()) for r in items.filter(block == b).collect())
-        index = spark.sparkContext.broadcast(ItemIndex(rows, window))
-        out = out.mapInArrow(_scan(index, text, names), out.schema)
-    return out
+    block = F.pmod(F.xxhash64("id", "words"), F.lit(n_blocks))
+    blocks = []
+    for b in range(n_blocks):
+        rows = items.filter(block == b).select("id", F.col("id").cast("string").alias("name"), "words").collect()
+        texts = [(name, words.encode()) for _, words, name in sorted((r["id"], r["words"], r["name"]) for r in rows)]
+        blocks.append(spark.sparkContext.broadcast(ItemIndex(texts, window)))
+    schema = T.StructType([*docs.schema.fields, *FOUND.fields])
+    found = docs.mapInArrow(_scan(blocks, text, names), schema)
+    kind = benchmark.schema[item].dataType.simpleString()
+    return found.select(
+        *[F.col(f"`{c}`") for c in names],
+        "__bm_words",
+        "__bm_spans",
+        F.col("__bm_items").cast(f"array<{kind}>").alias("__bm_items"),
+        "__bm_longest",
+        "__bm_start",
+        F.col("__bm_item").cast(kind).alias("__bm_item"),
+    )
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -61,6 +61,21 @@ def test_very_long_text_single_words_and_empty_tables(spark):
     assert run(spark, [], items) == []
 
 
+def test_many_blocks_share_one_pass_and_text_ids_stay_text(spark):
+    """Forty blocks need no more workers than one: the documents pass a single Python stage."""
+    passage = lambda i: " ".join(f"p{i}x{j}" for j in range(12))
+    bench = spark.createDataFrame([(f"item-{i}", passage(i), i) for i in range(40)], "item_id string, text string, doc_id long")
+    docs = spark.createDataFrame([(i, f"a {passage(i)} b {passage((i + 1) % 40)}", "", "") for i in range(40)], DOCS)
+    found = d.contamination(docs, bench, block_bytes=80)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("PythonMapInArrow") <= 2  # the node and its name
+    got = {r["doc_id"]: r for r in found.collect()}
+    for i in range(40):
+        names = sorted((f"item-{i}", f"item-{(i + 1) % 40}"))
+        assert got[i]["n_items"] == 2 and got[i]["n_hit"] == 24 and got[i]["match_item"] in names
+        assert got[i]["items_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+
+
 def test_longest_match_and_clean_rows(spark):
     bench = spark.createDataFrame([(5, " ".join(f"w{i}" for i in range(30)), 1)], ITEMS)
     docs = spark.createDataFrame([(1, "x " + " ".join(f"w{i}" for i in range(4, 21)) + " y", "", ""), (2, "w1 w2", "", "")], DOCS)
