@@ -1,7 +1,7 @@
 """Conversations as training windows of a token budget.
 
-Prefix sums of turn tokens cut a conversation into turn-aligned spans, whatever its
-length. Every window repeats the leading system turn and the turns before it that fit; the loss
+Prefix sums of turn tokens cut a conversation into turn-aligned spans that fill the budget,
+whatever its length. Every window repeats the leading system turn and limited history; the loss
 mask covers assistant texts in the window that first shows them only.
 """
 
@@ -12,6 +12,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,16 +68,30 @@ _WINDOW = (
 _LOSS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _fitting(turns: list[dict], budget: int) -> list[dict]:
-    """The turns of a window without its oldest history, as much as is over the budget."""
-    over = sum(t["tokens"] for t in turns) - budget
-    kept = []
-    for t in turns:
-        if over > 0 and t["history"]:
-            over -= t["tokens"]
-        else:
-            kept.append(t)
-    return kept
+SPAN = 8  # budgets in a stretch: what one task cuts into windows at a time
+
+
+def choose_spans(tokens: list[int], first: int, system: int, held: bool, budget: int) -> list[tuple[int, int, int]]:
+    """Windows of a stretch as (history start, start, end) in its turns, each as full as can be.
+
+    The turns before `first` were shown before. `system` is the size of the leading system
+    turn, 0 without one; `held` says that it is turn 0 here. A search in the prefix sums
+    finds the oldest turn within the history's quarter of the budget, or the last turn where
+    none is; the oldest go while the next turn would not fit. A second search finds the end.
+    """
+    sums = np.concatenate([[0], np.cumsum(tokens)])
+    least, spans, start = int(held), [], first
+    while start < len(tokens):
+        room = budget - (0 if held and start == 0 else system)
+        at = int(np.searchsorted(sums, sums[start] - budget // 4))
+        at = min(max(min(at, start - 1), least), start)
+        while at < start and sums[start + 1] - sums[at] > room:
+            at += 1
+        end = int(np.searchsorted(sums, sums[at] + room, "right")) - 1
+        end = max(end, start + 1)
+        spans.append((at, start, end))
+        start = end
+    return spans
 
 
 def _assemble(batches, budget: int):
@@ -84,33 +99,44 @@ def _assemble(batches, budget: int):
     names = ["conv_id", "window", "text", "loss", "n_repeated", "n_tokens"]
     for batch in slices(batches):
         out = []
-        for conv, window, turns in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            turns, parts, loss, at = _fitting(turns, budget), [], [], 0
-            for t in turns:
-                head = f"{TURN}{t['role']}{TEXT}"
-                if t["fresh"] and t["answer"]:
-                    loss.append({"start": at + len(head), "end": at + len(head) + len(t["body"])})
-                parts.append(f"{head}{t['body']}{END}")
-                at += len(parts[-1])
-            repeated = sum(not t["fresh"] for t in turns)
-            out.append((conv, window, "".join(parts), loss, repeated, sum(t["tokens"] for t in turns)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+        for conv, stretch, turns, lead in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            sizes = [t["tokens"] for t in turns]
+            held = lead is not None and turns[0]["pos"] == 0
+            first = sum(not t["fresh"] for t in turns)
+            spans = choose_spans(sizes, first, lead["tokens"] if lead else 0, held, budget)
+            for k, (at, start, end) in enumerate(spans):
+                parts, loss, size, n = [], [], 0, 0
+                if lead is not None and not (held and start == 0):
+                    parts, n = [f"{TURN}{lead['role']}{TEXT}{lead['body']}{END}"], lead["tokens"]
+                repeated = len(parts) + start - at
+                size = sum(map(len, parts))
+                for i in range(at, end):
+                    t = turns[i]
+                    head = f"{TURN}{t['role']}{TEXT}"
+                    if i >= start and t["answer"]:
+                        loss.append({"start": size + len(head), "end": size + len(head) + len(t["body"])})
+                    parts.append(f"{head}{t['body']}{END}")
+                    size += len(parts[-1])
+                out.append((conv, (stretch << 32) + k, "".join(parts), loss, repeated, n + sum(sizes[at:end])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
 def chat_windows(turns: DataFrame, tokens, budget: int = BUDGET) -> DataFrame:
     """(conv_id, window, text, loss, n_repeated, n_tokens) from (conv_id, turn, role, text).
 
-    Windows follow each other in steps of half the budget of fresh tokens. History is every whole
-    turn that begins within a quarter of the budget before a step, and the last turn before the
-    window wherever it begins; the oldest ones go while the window is over the budget. So a window
-    exceeds the budget only if a turn has more than a quarter of it, or the system turn more
-    than an eighth: turns are never cut. `loss` holds code point ranges of `text`; `n_repeated`
+    A window takes fresh turns up to the budget, behind the system turn and its history: every
+    trailing turn within a quarter of the budget, or the last turn alone if it is larger, as far
+    as the first fresh turn still fits. So a conversation within the budget is one window, and a
+    window exceeds it only if one turn with the system turn does: turns are never cut. A long
+    conversation is cut at every SPAN budgets first, so that its stretches spread over tasks;
+    the window at such a border may be shorter. `window` grows along the conversation, with
+    gaps. `loss` holds code point ranges of `text`; `n_repeated`
     turns at the start (system, history) were shown before. Turns go by (turn, role, text),
     nulls first; null role and text are empty; rows that repeat are turns of their own; a null
-    conv_id is a conversation; other columns are ignored; no rows give no windows. A
-    conversation of any length is spread over tasks by its prefix sums.
+    conv_id is a conversation; other columns are ignored; no rows give no windows.
     """
-    step, history = max(1, budget // 2), budget // 4
+    step, history = SPAN * budget, budget // 4
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -126,31 +152,29 @@ def chat_windows(turns: DataFrame, tokens, budget: int = BUDGET) -> DataFrame:
     no = F.lit(False)
     lead = placed.filter("pos = 0 and system").select(
         F.col("conv_id").alias("lead_conv"),
-        F.struct("pos", no.alias("fresh"), "role", "body", "answer", "tokens", no.alias("history")).alias("lead"),
+        F.struct("pos", no.alias("fresh"), "role", "body", "answer", "tokens").alias("lead"),
     )
     own = F.floor(F.col("before") / step)
     following = F.floor((F.col("before") + F.col("tokens")) / step)
-    # the last turn before a window ends in its step; those before it end in the step before
+    # the last turn before a stretch ends in it; the history before that ends in the stretch before
     later = F.when(following > own, following).when(F.col("before") >= (own + 1) * step - history, own + 1)
     again = later.isNotNull() & ~((F.col("pos") == 0) & F.col("system"))
     places = F.filter(
         F.array(
-            F.struct(own.alias("window"), F.lit(True).alias("fresh")),
-            F.when(again, F.struct(later.alias("window"), no.alias("fresh"))),
+            F.struct(own.alias("stretch"), F.lit(True).alias("fresh")),
+            F.when(again, F.struct(later.alias("stretch"), no.alias("fresh"))),
         ),
         lambda x: x.isNotNull(),
     )
-    turn = F.struct("pos", "fresh", "role", "body", "answer", "tokens", (~F.col("fresh")).alias("history"))
-    spans = (
+    turn = F.struct("pos", "fresh", "role", "body", "answer", "tokens")
+    stretches = (
         placed.select("*", F.inline(places))
-        .groupBy("conv_id", "window")
-        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))  # about step and history tokens and two turns
+        .groupBy("conv_id", "stretch")
+        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))  # SPAN budgets, the history and two turns at most
         .filter(F.exists("turns", lambda t: t["fresh"]))
     )
-    joined = spans.join(lead, F.col("conv_id").eqNullSafe(F.col("lead_conv")), "left")
-    has_lead = F.col("lead").isNull() | (F.col("turns")[0]["pos"] == 0)
-    whole = F.when(has_lead, F.col("turns")).otherwise(F.concat(F.array("lead"), "turns"))
-    return joined.select("conv_id", "window", whole.alias("turns")).mapInArrow(lambda batches: _assemble(batches, budget), _WINDOW)
+    joined = stretches.join(lead, F.col("conv_id").eqNullSafe(F.col("lead_conv")), "left")
+    return joined.select("conv_id", "stretch", "turns", "lead").mapInArrow(lambda batches: _assemble(batches, budget), _WINDOW)
 
 
 def read_turns(text: str) -> list[tuple[str, str]]:
@@ -203,6 +227,10 @@ def _read_back(batches):
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """One row of digests per conversation, read from its windows alone."""
+    """One row of digests per conversation, read from its windows alone.
+
+    A digest is taken in order, so one task streams the windows of a conversation; it holds
+    a batch of them at a time.
+    """
     ordered = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
     return ordered.mapInArrow(_read_back, _READ)

@@ -89,3 +89,54 @@ def test_history_is_every_trailing_turn_that_fits(spark):
         assert [int(t.split()[1]) for _, t in turns] == list(range(int(turns[0][1].split()[1]), int(turns[-1][1].split()[1]) + 1))
         assert w["n_tokens"] <= 64
     assert all(w["n_repeated"] >= 1 and w["n_tokens"] <= 64 for w in got if w["conv_id"] == 2 and w["window"])
+
+
+def plain_windows(sizes, system, budget):
+    """(repeated turns, fresh turns) of each window of one conversation, turn by turn."""
+    out, start, skip = [], 0, 1 if system else 0
+    while start < len(sizes):
+        lead = sizes[0] if system and start else 0
+        history = []
+        for j in range(start - 1, skip - 1, -1):
+            if history and sum(sizes[i] for i in history) + sizes[j] > budget // 4:
+                break
+            history.insert(0, j)
+            if sum(sizes[i] for i in history) > budget // 4:
+                break
+        while history and lead + sum(sizes[i] for i in history) + sizes[start] > budget:
+            history.pop(0)
+        used, fresh = lead + sum(sizes[i] for i in history), [start]
+        used += sizes[start]
+        while fresh[-1] + 1 < len(sizes) and used + sizes[fresh[-1] + 1] <= budget:
+            fresh.append(fresh[-1] + 1)
+            used += sizes[fresh[-1]]
+        out.append((history, fresh))
+        start = fresh[-1] + 1
+    return out
+
+
+def test_spans_agree_with_a_turn_by_turn_choice():
+    rnd = random.Random(9)
+    for _ in range(500):
+        sizes = [rnd.choice([1, 3, 7, 12, 20, 45, 90]) for _ in range(rnd.randint(1, 60))]
+        system, budget = rnd.random() < 0.5, rnd.choice([16, 64, 100])
+        got = c.choose_spans(sizes, 0, sizes[0] if system else 0, system, budget)
+        assert [(list(range(a, s)), list(range(s, e))) for a, s, e in got] == plain_windows(sizes, system, budget)
+
+
+def test_a_conversation_within_the_budget_is_one_window(spark):
+    rows = [(k, t, "assistant" if t % 2 else "user", "w " * 8) for k in range(40) for t in range(k + 1)]
+    got = c.chat_windows(table(spark, rows), count_words, 128).collect()
+    sizes = {k: sum(w["n_tokens"] for w in got if w["conv_id"] == k) for k in range(40)}
+    counts = {k: sum(w["conv_id"] == k for w in got) for k in range(40)}
+    assert all((counts[k] == 1) == (sizes[k] <= 128) for k in range(40)) and counts[0] == 1 and counts[39] > 1
+
+
+def test_a_long_conversation_is_spread_in_stretches(spark):
+    rows = [(1, 0, "system", "rules")] + [(1, t, "assistant" if t % 2 else "user", f"say {t}") for t in range(1, 3000)]
+    windows = c.chat_windows(table(spark, rows), count_words, 64)
+    got = windows.orderBy("window").collect()
+    assert len({w["window"] >> 32 for w in got}) > 10 and all(w["n_tokens"] <= 64 for w in got)
+    assert sum(w["n_tokens"] > 56 for w in got) > 0.8 * len(got)  # nearly all are filled
+    assert all(w["n_repeated"] > 2 for w in got[1:])  # history also across the borders
+    assert {r["conv_id"]: tuple(r)[1:5] for r in c.read_back(windows).collect()} == plain(rows)
