@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scale import spread
-from . import bpe, centroids, chat, decontaminate, licenses, mixing, passages, periods, private, quality, sharding, simhash, urlrules
+from . import bpe, centroids, chat, decontaminate, licenses, mixing, oracles, passages, periods, private, quality, sharding, simhash, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,7 +82,7 @@ def mixing_rows(spark, sf_dir):
     return mixing.mix_rows(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
-@query("op9_decontamination")
+@query("op9_decontamination", oracles.DECONTAMINATION)
 def decontamination(spark, sf_dir):
     items = read(spark, sf_dir, "benchmark", "item_id", "text")
     return decontaminate.contamination(documents(spark, sf_dir), items)
@@ -93,7 +93,7 @@ def simhash_classes(spark, sf_dir):
     return simhash.duplicate_classes(documents(spark, sf_dir))
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", oracles.SUBSTRING_DEDUP)
 def substring_dedup(spark, sf_dir):
     return passages.remove_repeats(documents(spark, sf_dir))
 
@@ -142,7 +142,7 @@ def with_planted_periods(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", F.when(F.size("words") > 0, planted).otherwise(F.col("text")).alias("text"))
 
 
-@query("op12_periodic_runs")
+@query("op12_periodic_runs", oracles.PERIODIC_RUNS)
 def periodic_runs(spark, sf_dir):
     return periods.run_digests(periods.periodic_runs(with_planted_periods(documents(spark, sf_dir))))
 
