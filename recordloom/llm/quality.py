@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .words import blank_words, slices, utf8
 
 SAMPLE_ROWS = 20_000  # labelled documents the trees are trained on, at most
+FOLDS = 5  # parts of the sample, each scored by trees of the others to find the cut
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -187,6 +188,17 @@ def train(
     )
 
 
+def held_out_scores(x: np.ndarray, y: np.ndarray, directions: list[int], folds: int = FOLDS) -> np.ndarray:
+    """The score of every row by trees that did not see it, nor any row with equal statistics."""
+    fold = np.unique(x, axis=0, return_inverse=True)[1].ravel() % folds
+    scores = np.zeros(len(y))
+    for k in np.unique(fold):
+        mine = fold == k
+        rest = ~mine if not mine.all() else mine  # all rows equal: nothing to hold out
+        scores[mine] = train(x[rest], y[rest], directions).score(x[mine])
+    return scores
+
+
 def fit_quality(
     docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "quality",
     sample_rows: int = SAMPLE_ROWS, spare_good: float = 0.001,
@@ -196,7 +208,8 @@ def fit_quality(
     The sample is the documents with the smallest hash of their id, so it does not depend on
     the partitioning. Labels of one id are averaged, null labels ignored. Documents that fail
     the base rules are left out. A document is rejected below even odds, or below a lower cut
-    if that would reject more than `spare_good` of the good sample.
+    if that would reject more than `spare_good` of the good sample, by scores of trees that
+    did not see the rows they score.
     """
     own = labels.filter(F.col(label).isNotNull() & F.col(doc).isNotNull())
     own = own.groupBy(F.col(doc).alias("__label_id")).agg((F.avg(label) >= 0.5).cast("double").alias("__label"))
@@ -213,8 +226,10 @@ def fit_quality(
         return None
     order = sorted(range(len(found)), key=lambda i: (found[i]["x"], y[i]))  # whatever the order of rows
     x, y = np.array([found[i]["x"] for i in order]), y[order]
-    trees = train(x, y, list(FEATURES.values()))
-    trees.keep_at = float(min(0.0, np.quantile(trees.score(x[y == 1]), spare_good, method="lower")))
+    directions = list(FEATURES.values())
+    trees = train(x, y, directions)
+    unseen = held_out_scores(x, y, directions)
+    trees.keep_at = float(min(0.0, np.quantile(unseen[y == 1], spare_good, method="lower")))
     return trees
 
 

@@ -89,6 +89,21 @@ def test_scores_are_monotonic_and_match_a_walk():
     assert np.allclose(trees.score(probe), [walk(r) for r in probe])
 
 
+def test_cut_comes_from_rows_the_trees_did_not_see():
+    rng = np.random.default_rng(3)
+    x = rng.random((800, 2))
+    x = np.concatenate([x, x[:50]])  # equal rows are held out together
+    y = (rng.random(850) < 0.2 + 0.6 * (x[:, 0] > 0.5)).astype(float)
+    seen, unseen = q.train(x, y, [0, 0]).score(x), q.held_out_scores(x, y, [0, 0])
+    loss = lambda s: np.mean(np.log1p(np.exp(np.where(y == 1, -s, s))))
+    assert loss(seen) < loss(unseen)
+    assert np.array_equal(unseen[:50], unseen[800:])
+    fold = np.unique(x, axis=0, return_inverse=True)[1].ravel() % q.FOLDS
+    mine = fold == 2
+    assert np.array_equal(unseen[mine], q.train(x[~mine], y[~mine], [0, 0]).score(x[mine]))
+    assert np.isfinite(q.held_out_scores(np.ones((40, 2)), np.arange(40) % 2.0, [0, 0])).all()
+
+
 def test_without_labels_or_rows(spark):
     docs, labels = labelled(spark, 40)
     assert q.fit_quality(docs, labels.limit(0)) is None
