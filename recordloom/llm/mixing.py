@@ -197,7 +197,8 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     )
     some = (F.col("__mix_more") > 0) & (F.col("__mix_more") < F.col("__mix_rows"))
     more = (F.col("__mix_more") > 0).cast("long")
-    taken = docs.join(counts.filter(~some), same).withColumn("__mix_times", F.col("__mix_copies") + more)
+    # a row per document has no size bound: both sides are shuffled and merged at every size, never broadcast
+    taken = docs.join(counts.filter(~some).hint("merge"), same).withColumn("__mix_times", F.col("__mix_copies") + more)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     uneven = counts.filter(some)
     if not uneven.isEmpty():
