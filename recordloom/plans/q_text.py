@@ -160,7 +160,8 @@ def normalize_strings(spark, sf_dir):
     return t.normalize_strings(rows, "c", "mach", "segment=%s!").drop("c")
 
 
-_EMAIL = r"^[\w.+-]+@[\w-]+\.[\w.-]+$"
+# Fixed value: the form of an e-mail address that the search for personal data takes, for a whole word.
+_EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$"
 
 
 @query(
