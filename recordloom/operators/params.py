@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
 from ..functions.template import VALUE
-from ..scale import global_index, pin
+from ..scale import global_index, pin, unbroadcast
 
 GRID_CHUNK = 65_536
 
@@ -17,11 +17,12 @@ def draw_patterns(
 ) -> DataFrame:
     """One uniform draw with replacement per attempt, joined on the pattern's position.
 
-    Positions follow the unique `key`; an empty catalog yields no rows. Which side
-    is broadcast is left to the planner's size threshold.
+    Positions follow the unique `key`; an empty catalog yields no rows. Up to BROADCAST_ROWS
+    patterns, which side is broadcast is left to the planner's size threshold.
     """
     indexed = global_index(catalog, [key], "pattern_pos")
-    return with_draw(attempts, indexed.count(), seed, attempt).join(indexed, "pattern_pos")
+    size = indexed.count()
+    return with_draw(attempts, size, seed, attempt).join(unbroadcast(indexed, size), "pattern_pos")
 
 
 def with_draw(attempts: DataFrame, size: int, seed: int, attempt: str = "attempt") -> DataFrame:

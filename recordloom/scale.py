@@ -88,6 +88,15 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def unbroadcast(df: DataFrame, rows: int) -> DataFrame:
+    """`df` for the side of a join, joined by shuffle if it may have too many `rows` to be broadcast.
+
+    Spark's size threshold goes by compressed files, where a million short rows look small; the
+    driver would hold them all, many times larger.
+    """
+    return df.hint("merge") if rows > BROADCAST_ROWS else df
+
+
 def range_blocks(df: DataFrame, order: list, blocks: int | None = None) -> DataFrame:
     """Rows split into ordered blocks: `_blk` grows with the order, `_idx` counts inside it."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
