@@ -13,6 +13,7 @@ from ..functions.template import VALUE
 from ..operators.catalog import check_catalog
 from ..scale import scratch_path
 from ..sources.catalog import COMPONENTS, PARAM, parse_catalog, read_catalog_files
+from ..sources.files import write_texts
 from .registry import spread_table
 
 BODY = (
@@ -192,9 +193,11 @@ def supplier_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path, yaml_text) of the same patterns, written as one file each and found again by a scan."""
     path = scratch_path(spark, "patterns")
-    supplier_yaml(spark, sf_dir).write.partitionBy("nation", "file").text(path)
+    keys = [F.coalesce(F.col(k).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")) for k in ("nation", "file")]
+    name = F.concat(F.lit("nation="), keys[0], F.lit("/file="), keys[1])
+    write_texts(supplier_yaml(spark, sf_dir).select(name.alias("name"), F.col("yaml_text").alias("text")), path)
     found = read_catalog_files(spark, path, "*.txt")
-    return found.withColumn("path", F.regexp_replace("path", "/[^/]*$", ""))
+    return found.withColumn("path", F.regexp_replace("path", r"\.\d+\.txt$", ""))
 
 
 SUPPLIER_SQL = """

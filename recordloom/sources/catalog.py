@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.template import VALUE
 from ..scale import materialize
 
+# Scans of many small files: tasks that every core gets at least, splits that a task takes at most.
+TASKS_PER_CORE = 4
+SPLITS_PER_TASK = 32
+
 PARAM = f"struct<type:string,description:string,default:{VALUE},options:array<{VALUE}>>"
 COMPONENTS = (
     "struct<imports:string,model_definition:string,data_setup:string,"
@@ -160,7 +164,11 @@ def parse_catalog(files: DataFrame) -> DataFrame:
 
 
 def read_catalog_files(spark: SparkSession, path: str, names: str = "*.{yaml,yml}") -> DataFrame:
-    """Whole texts of the files below `path` whose name fits, with the path relative to it."""
+    """Whole texts of the files below `path` whose name fits, with the path relative to it.
+
+    Spark gives a task some thirty small files; with thousands of tasks, starting them would be most
+    of the work, and each would write a file of its own later, so a task takes more of them then.
+    """
     files = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", names)
@@ -169,10 +177,13 @@ def read_catalog_files(spark: SparkSession, path: str, names: str = "*.{yaml,yml
     root = path.rstrip("/") + "/"
     full = F.col("_metadata.file_path")
     at = F.instr(full, root)
-    return files.select(
+    found = files.select(
         F.when(at > 0, F.substring(full, at + len(root), F.length(full))).otherwise(full).alias("path"),
         F.col("value").alias("yaml_text"),
     )
+    splits, cores = files.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    tasks = max(TASKS_PER_CORE * cores, -(-splits // SPLITS_PER_TASK))
+    return found.coalesce(tasks) if splits > tasks else found
 
 
 def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -186,6 +187,46 @@ def read_fixed(spark: SparkSession, path: str, dtype: str, width: int) -> DataFr
     return ranges.mapInPandas(read, f"path string, record_no long, items array<{item}>")
 
 
+# ------------------------------------------------------------------ whole texts
+
+
+def write_texts(df: DataFrame, path: str) -> None:
+    """(name, text) -> text files below a new `path`, one per name and task: `<name>.<task>.txt`.
+
+    Tasks write the files themselves, so neither folders nor renames pile up on the driver, however
+    many files there are. Texts of one name in one task follow each other, each with a newline.
+    """
+    from pyarrow import fs
+
+    uri = _uri(path) if ":" in path else f"file://{path}"
+    target, base = fs.FileSystem.from_uri(uri)
+    target.create_dir(base, recursive=True)  # without rows, too
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        store, root = fs.FileSystem.from_uri(uri)
+        folders, n = set(), 0
+        rows = (row for pdf in batches for row in zip(pdf["name"], pdf["text"]))
+        for name, texts in groupby(rows, key=lambda row: row[0]):
+            file = f"{root}/{name}.{ctx.partitionId():05d}.txt"
+            folder = file.rpartition("/")[0]
+            if folder not in folders:
+                store.create_dir(folder, recursive=True)
+                folders.add(folder)
+            part = f"{file}.{ctx.taskAttemptId()}"  # a second attempt never cuts a finished file
+            with store.open_output_stream(part) as out:
+                out.write("".join(f"{text}\n" for _, text in texts).encode())
+            store.move(part, file)
+            n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    ordered = df.select("name", "text").sortWithinPartitions("name")
+    ordered.mapInPandas(write, "n long").agg(F.sum("n")).first()
+
+
 # ---------------------------------------------------------------------- listing
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from recordloom.plans import derived
 from recordloom.sources import files
+from recordloom.sources.catalog import read_catalog_files
 
 
 def test_fixed_records_drop_the_cut_off_tail(spark, tmp_path):
@@ -122,3 +124,34 @@ def test_fixed_records_are_not_mixed_with_an_earlier_write(spark, tmp_path):
     for tasks in (6, 2):
         assert files.write_fixed(df.repartition(tasks), "v", "double", f"{tmp_path}/f") == 50
         assert files.read_fixed(spark, f"{tmp_path}/f", "double", 2).count() == 50
+
+
+def test_texts_are_one_file_per_name_and_task(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    data = [("a/x", "one"), ("b/y", "two\nlines"), ("a/x", "again"), ("a/z", "\u00e9")]
+    files.write_texts(spark.createDataFrame(data, "name string, text string").coalesce(1), path)
+    got = sorted((str(f.relative_to(path)), f.read_text()) for f in (tmp_path / "texts").rglob("*") if f.is_file())
+    assert got == [
+        ("a/x.00000.txt", "one\nagain\n"), ("a/z.00000.txt", "\u00e9\n"), ("b/y.00000.txt", "two\nlines\n")
+    ]
+    empty = str(tmp_path / "empty")
+    files.write_texts(spark.createDataFrame([], "name string, text string"), empty)
+    assert read_catalog_files(spark, empty, "*.txt").count() == 0
+
+
+def test_many_small_files_need_few_folders_and_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(derived, "scratch_path", lambda *_: str(tmp_path / "patterns"))
+    data = [(k, f"Supplier {k}", k % 3, 1.0) for k in range(300)] + [(None, "Supplier", None, 1.0)]
+    spark.createDataFrame(data, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    want = {f"nation={k % 3}/file={k}" for k in range(300)}
+    want.add("nation=__HIVE_DEFAULT_PARTITION__/file=__HIVE_DEFAULT_PARTITION__")
+    found = derived.supplier_files(spark, str(tmp_path))
+    assert {r["path"] for r in found.collect()} == want and found.count() == 301
+    assert len([d for d in (tmp_path / "patterns").rglob("*") if d.is_dir()]) == 4
+    least = found.rdd.getNumPartitions()
+    monkeypatch.setattr("recordloom.sources.catalog.TASKS_PER_CORE", 1)
+    few = read_catalog_files(spark, str(tmp_path / "patterns"), "*.txt")
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism < least
+    assert few.count() == 301
