@@ -10,6 +10,7 @@ from ..functions.text import normalize_string
 from ..scale import global_index, materialize, pin, running
 
 UNK_ID, PAD_ID, FIRST_ID = 0, 1, 2
+WIDE = "decimal(32,0)"
 # The broadcast part of a vocabulary: at most this many terms of this length.
 HEAD_TERMS = 500_000
 HEAD_LENGTH = 64
@@ -36,15 +37,16 @@ def term_stats(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     hash aggregation; other keys, text above all, give a (key, pos) struct. The type
     follows the key's type only, never the data.
     """
-    whole = isinstance(docs.schema[key].dataType, T.IntegralType)
+    rows = token_rows(docs, key, tokens).groupBy("term")
+    n = F.count(F.lit(1)).alias("n")
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        return rows.agg(n, F.min(F.struct(F.col(key).alias("key"), "pos")).alias("first_at"))
     packed = F.col(key).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
-    place = packed if whole else F.struct(F.col(key).alias("key"), "pos")
-    return (
-        token_rows(docs, key, tokens)
-        .withColumn("_at", place)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first_at"))
-    )
+    # places that fit are compared as plain longs, since wide decimals cost an object per token
+    number = F.col(key).cast("long")
+    fits = number.between(-(1 << 32), (1 << 32) - 1)
+    near = F.min(F.when(fits, number * F.lit(1 << 31) + F.col("pos"))).cast(WIDE)
+    return rows.agg(n, F.least(near, F.min(F.when(fits, None).otherwise(packed)).cast(WIDE)).alias("first_at"))
 
 
 def build_vocab(stats: DataFrame, min_freq: int) -> DataFrame:
@@ -53,7 +55,9 @@ def build_vocab(stats: DataFrame, min_freq: int) -> DataFrame:
 
 def assign_ids(vocab: DataFrame, unk: str = "<UNK>", pad: str = "<PAD>") -> DataFrame:
     """(term, id, n): 0 and 1 are special, the rest from 2 by falling count, then first place."""
-    # limit 0: always written in ordered blocks, so the corpus is not read again for each use
+    # counted, sampled and copied below, which must not read the corpus each time; limit 0: always
+    # written in ordered blocks, for the uses of the result
+    vocab = materialize(vocab, "terms")
     ids = global_index(vocab, [F.col("n").desc(), "first_at"], "id", FIRST_ID, limit=0)
     special = ids.sparkSession.createDataFrame(
         [(unk, UNK_ID, 0), (pad, PAD_ID, 0)], "term string, id long, n long"
@@ -77,7 +81,10 @@ def encode(tokens: DataFrame, vocab: DataFrame, head_terms: int = HEAD_TERMS) ->
     if tail.isEmpty():
         return tokens.join(head, "term", "left").select(*others, token_id)
     common = tokens.join(head, "term").select(*others, F.col("id").alias("token_id"))
-    rare = tokens.join(head.select("term"), "term", "left_anti").withColumn("_digest", F.md5("term"))
+    # written, since four steps read them and making tokens costs most
+    rare = materialize(
+        tokens.join(head.select("term"), "term", "left_anti").withColumn("_digest", F.md5("term")), "rare"
+    )
     hot = hot_digests(rare)
     ids = tail.withColumn("_digest", F.md5("term")).join(F.broadcast(hot), "_digest").select("_digest", "id")
     settled = F.broadcast(materialize(hot.join(ids, "_digest", "left"), "hot-terms"))

@@ -161,3 +161,35 @@ def test_windows_of_a_long_text(spark):
         F.element_at("y", 64) == F.concat(F.lit("w"), (F.col("start") + 64).cast("string"))
     )
     assert got.agg(F.count(F.lit(1)), F.min("start"), F.max("start"), F.bool_and(right)).first() == (199_936, 0, 199_935, True)
+
+
+def test_first_places_of_any_whole_key(spark):
+    far = 1 << 40
+    data = [(far, "b a"), (5, "x a b"), (-7, "c"), (-far, "c d"), (None, "e"), ((1 << 32) - 1, "f"), (1 << 32, "f g")]
+    stats = t.term_stats(spark.createDataFrame(data, "k long, s string"), "k", F.split("s", " "))
+    assert stats.schema["first_at"].dataType.simpleString() == "decimal(32,0)"
+    want = {
+        "a": (2, (5, 1)), "b": (2, (5, 2)), "x": (1, (5, 0)), "c": (2, (-far, 0)), "d": (1, (-far, 1)),
+        "e": (1, None), "f": (2, ((1 << 32) - 1, 0)), "g": (1, (1 << 32, 1)),
+    }
+    got = {r["term"]: (r["n"], None if r["first_at"] is None else int(r["first_at"])) for r in stats.collect()}
+    assert got == {w: (n, None if at is None else at[0] * (1 << 31) + at[1]) for w, (n, at) in want.items()}
+
+
+def test_the_corpus_is_read_once_for_ids_and_twice_for_codes(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def told(_):
+        calls.add(1)
+        return True
+
+    terms = [(f"w{i}", 20 - i, i) for i in range(20)]
+    vocab = spark.createDataFrame(terms, "term string, n long, first_at long").filter(told("term"))
+    ids = t.assign_ids(vocab)
+    assert ids.filter("id = 21").first()["term"] == "w19" and calls.value == 20
+    calls.value = 0
+    tokens = spark.range(30).select("id", F.concat(F.lit("w"), F.col("id").cast("string")).alias("term"))
+    codes = t.encode(tokens.withColumnRenamed("id", "pos").filter(told("pos")), ids, head_terms=3)
+    assert dict(rows(codes)) == {i: i + 2 if i < 20 else 0 for i in range(30)}
+    assert calls.value == 60
