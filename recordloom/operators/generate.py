@@ -15,6 +15,7 @@ from ..functions.template import (
     render_segments,
 )
 from ..scale import (
+    BROADCAST_ROWS,
     RANK_BUCKETS,
     at_or_before,
     global_index,
@@ -221,6 +222,8 @@ def index_catalog(catalog: DataFrame, path: str | None = None) -> DataFrame:
         places = F.broadcast(ids.select("pattern_id", place.alias("pattern_pos")))
     else:
         places = global_index(ids, ["pattern_id"], "pattern_pos", limit=0)
+        # neither side is broadcast: the patterns are wide, however small the files they come from
+        places = unbroadcast(places, BROADCAST_ROWS + 1)
     ready = compile_catalog(catalog.join(places, "pattern_id"), "pattern_pos").withColumn(
         "_entries", option_entries(F.col("parameters"))
     ).drop("parameters")

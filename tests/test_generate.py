@@ -153,6 +153,15 @@ def test_large_catalogs_and_rounds_are_not_broadcast(spark, catalog, monkeypatch
     marked.clear()
     assert g.generate_dataset(catalog, 50, seed=4, max_factor=4)[1] == told
     assert marked == [catalog.count(), 100, 100]
+    # a catalog that is numbered in blocks is not broadcast to its numbers either
+    monkeypatch.setattr(g, "is_small", lambda df: False)
+    monkeypatch.setattr(g, "BROADCAST_ROWS", 2)
+    plans = []
+    monkeypatch.setattr(
+        g, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    )
+    assert g.index_catalog(catalog).count() == catalog.count()
+    assert "SortMergeJoin" in plans[0] and plans[0].count("BroadcastHashJoin") == 1  # of the block borders
 
 
 def test_shortfall_and_reject_counts(catalog):
